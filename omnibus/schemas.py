@@ -71,6 +71,25 @@ WEATHER_DOCUMENT = (
 )
 FUEL_CSV = "date string, petrol_delhi_inr double, diesel_delhi_inr double, source_note string"
 
+# Longest text each column may hold (fixed values).
+LENGTHS = {
+    "dim_route": {"route_id": 50, "route_short_name": 20, "route_long_name": 255},
+    "dim_stop": {"stop_id": 50, "stop_name": 255},
+    "dim_trip": {
+        "trip_id": 100, "route_id": 50, "service_id": 50, "shape_id": 50,
+        "start_date": 20, "end_date": 20,
+    },
+    "dim_date": {"month_name": 20, "day_name": 20},
+    "fact_schedule": {"trip_id": 100, "stop_id": 50, "arrival_time": 10, "departure_time": 10},
+    "fact_vehicle_positions": {
+        "entity_id": 50, "vehicle_id": 50, "trip_id": 100, "route_id": 50,
+        "timestamp": 40, "ingested_at": 40,
+    },
+    "fact_weather_daily": {"weather_label": 50},
+    "fact_fuel_prices": {"source_note": 100},
+    "user_route_access": {"user_email": 256, "route_id": 50},
+}
+
 
 def names(ddl: str) -> list[str]:
     """Column names of a flat DDL string, in order."""

@@ -139,7 +139,8 @@ class Analogs:
         )
 
     def holidays(self) -> DataFrame:
-        return self.table("orders").where("o_orderkey % 500 = 0").selectExpr("cast(o_orderdate AS date) AS date")
+        """Days with a very large order, one row per such order."""
+        return self.table("orders").where("o_totalprice > 440000").selectExpr("cast(o_orderdate AS date) AS date")
 
     def fact_schedule(self) -> DataFrame:
         """Some trips are unknown; some hours and flags are NULL."""
@@ -276,7 +277,7 @@ class Analogs:
 
     def status_changes(self) -> DataFrame:
         """Two changes for some ids, ids that do not exist, and a bad status."""
-        return self.table("events").where("event_id % 5 = 0").selectExpr(
+        return self.table("events").selectExpr(
             "*", _REPEAT.format("event_id % 10 = 0")
         ).selectExpr(
             "if(event_id % 35 = 0, -1 - event_id, event_id) AS id",

@@ -374,9 +374,8 @@ def _two_loads(a: Analogs) -> DataFrame:
     """A first load creates the table, the second one updates it by id."""
     schema, root = _scratch_schema(), fresh_folder(a.spark, "tables")
     raw = _exported(a)
-    number = F.col("id").cast("bigint")
-    loads.load_observations(a.spark, raw.where(number % 3 != 0), schema, root, "bigint")
-    later = raw.where(number % 2 == 0).withColumn("status", F.lit("RESOLVED"))
+    loads.load_observations(a.spark, raw.where("created_at < '2024-01-20'"), schema, root, "bigint")
+    later = raw.where("created_at >= '2024-01-12'").withColumn("status", F.lit("RESOLVED"))
     loads.load_observations(a.spark, later, schema, root, "bigint")
     return a.spark.table(f"{schema}.{loads.OBSERVATIONS}")
 
@@ -540,11 +539,15 @@ def o12(a):
 
 @query("o13_registry_load")
 def o13(a):
-    """Codes offered twice; those with low ids are registered already."""
+    """Codes offered twice, the earlier offer without a flag; active codes are registered already."""
     codes = a.qr_codes()
-    again = codes.withColumn("id", F.col("id") + 1_000_000).withColumn("is_active", F.lit(None).cast("boolean"))
-    offered = codes.where("id % 4 <> 0").unionByName(again)
-    return obs.register_codes(codes.where("id % 3 = 0"), offered).select("id", "qr_token", "is_active")
+    earlier = codes.withColumns({
+        "id": F.col("id") + 1_000_000,
+        "is_active": F.lit(None).cast("boolean"),
+        "created_at": F.col("created_at") - F.make_dt_interval(hours=F.lit(1)),
+    })
+    registered = codes.where("is_active")
+    return obs.register_codes(registered, codes.unionByName(earlier)).select("id", "qr_token", "is_active")
 
 
 @query("o14_local_display")

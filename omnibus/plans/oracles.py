@@ -115,7 +115,7 @@ INPUTS: dict[str, str] = {
                80 + (lo % 40) / 4.0::DOUBLE AS diesel_delhi_inr, 'seed' AS source_note
         FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
                      max(o_orderkey) AS hi, min(o_orderkey) AS lo FROM orders GROUP BY 1)""",
-    "holidays": "SELECT CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderkey % 500 = 0",
+    "holidays": "SELECT CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_totalprice > 440000",
     "date_bounds": """
         SELECT least((SELECT min(CAST(ts AS DATE)) FROM events), (SELECT min(CAST(o_orderdate AS DATE)) FROM orders),
                      (SELECT min(date) FROM weather)) AS lo,
@@ -567,8 +567,8 @@ _STATEMENTS = {
         {_EXPORT} FROM (SELECT * FROM observations WHERE created_at >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY
                         ORDER BY created_at DESC, id DESC LIMIT 50000)""",
     "s7_create_or_merge": """
-        SELECT CASE WHEN id % 2 = 0 THEN 'RESOLVED' ELSE status END AS status, count(*) AS n
-        FROM observations WHERE id % 3 <> 0 OR id % 2 = 0 GROUP BY 1""",
+        SELECT CASE WHEN created_at >= TIMESTAMP '2024-01-12' THEN 'RESOLVED' ELSE status END AS status, count(*) AS n
+        FROM observations GROUP BY 1""",
     "s8_tables_across_schemas": """
         SELECT t.route_id, count(*) AS trips, any_value(route_long_name) AS route_long_name
         FROM dim_trip t JOIN dim_route r ON t.route_id = r.route_id GROUP BY 1""",
@@ -578,9 +578,9 @@ _STATEMENTS = {
         WHERE TRY_CAST(ingested_at AS TIMESTAMP) IS NOT NULL""",
     "l3_full_reload": "SELECT entity_id, ingested_at, derived_speed_kmh FROM fact_vehicle_positions",
     "l4_upsert_observations": """
-        SELECT id, CASE WHEN id % 2 = 0 THEN 'RESOLVED' ELSE status END AS status,
+        SELECT id, CASE WHEN created_at >= TIMESTAMP '2024-01-12' THEN 'RESOLVED' ELSE status END AS status,
                coalesce(route_id, '') AS route_id, coalesce(description, '') AS description
-        FROM observations WHERE id % 3 <> 0 OR id % 2 = 0""",
+        FROM observations""",
     "l5_realtime_cycle": """
         SELECT entity_id, vehicle_id, "timestamp",
                CASE WHEN kmh <= 120 THEN round(kmh + 1e-9, 3) END AS derived_speed_kmh,
@@ -602,7 +602,7 @@ _STATEMENTS = {
             SELECT CASE WHEN event_id % 35 = 0 THEN -1 - event_id ELSE event_id END AS id,
                    ['REVIEWED', 'RESOLVED', 'CLOSED'][(event_id + copy) % 3 + 1] AS status,
                    ts + to_minutes(copy) AS changed_at
-            FROM events JOIN copies ON copy = 0 OR event_id % 10 = 0 WHERE event_id % 5 = 0)
+            FROM events JOIN copies ON copy = 0 OR event_id % 10 = 0)
           WHERE status <> 'CLOSED' GROUP BY id) c ON o.id = c.id""",
     "o6_by_route": "SELECT route_id, problem_type, severity, n AS count FROM by_route",
     "o7_by_type": "SELECT problem_type, severity, CAST(sum(n) AS BIGINT) AS count FROM window_counts GROUP BY 1, 2",
@@ -629,9 +629,7 @@ _STATEMENTS = {
         FROM window_counts""",
     "o12_recent": "SELECT id, status FROM observations ORDER BY created_at DESC, id DESC LIMIT 10",
     "o13_registry_load": """
-        SELECT CASE WHEN id % 4 <> 0 THEN id ELSE id + 1000000 END AS id, qr_token,
-               CASE WHEN id % 4 = 0 OR is_active THEN 1 ELSE 0 END AS is_active
-        FROM qr_codes WHERE id % 3 <> 0""",
+        SELECT id + 1000000 AS id, qr_token, 1 AS is_active FROM qr_codes WHERE NOT is_active""",
     "o14_local_display": """
         SELECT id, strftime(created_at + INTERVAL 330 MINUTE, '%d %b, %H:%M') AS observed_local,
                replace(problem_type, '_', ' ') AS problem_label FROM observations""",

@@ -1,9 +1,13 @@
-"""Catalog tables over versioned folders.
+"""Catalog tables that are replaced in one step.
 
-A reload writes a new folder and then points the table at it, so a reader sees
-the old rows or the new ones and never an empty table, and a failed write
-leaves the table as it was.  Names may carry a schema (``gold.dim_route``), so
-one session reads across layers.
+A table name is a view over the stored version in use.  A reload writes and
+registers a new version and then replaces the view, so a reader sees the old
+rows or the new ones and never an empty or half-filled table, and a failed
+write leaves the table as it was.  The files of older versions stay for
+readers that still hold them; removing those is a retention job's business.
+
+Names may carry a schema (``gold.dim_route``), so one session reads across
+layers.
 """
 
 from __future__ import annotations
@@ -12,32 +16,40 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_STORED = "stored_in"
+
 
 def exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def stored_in(spark: SparkSession, name: str) -> str:
+    """The stored version that the name shows."""
+    return spark.sql(f"SHOW TBLPROPERTIES {name} ('{_STORED}')").first()["value"]
+
+
 def publish(df: DataFrame, name: str, root: str, partition_by: tuple[str, ...] = ()) -> None:
     """Create the table, or replace all its rows."""
-    spark = df.sparkSession
+    spark, root = df.sparkSession, root.rstrip("/")
     if "." in name:
         schema = name.rsplit(".", 1)[0]
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root.rstrip('/')}/{schema}.db'")
-    folder = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
-    if partition_by:
-        # One writer per partition value and hash part: few files, no giant task.
-        df = df.hint("rebalance", *partition_by)
-    df.write.partitionBy(*partition_by).parquet(folder)
-    if exists(spark, name):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
-        spark.catalog.refreshTable(name)
-    else:
-        by = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {by} LOCATION '{folder}'")
-    if partition_by:
-        spark.catalog.recoverPartitions(name)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root}/{schema}.db'")
+    before = stored_in(spark, name) if exists(spark, name) else None
+    version = f"{name}_{uuid.uuid4().hex}"
+    _writer(df, partition_by).option("path", f"{root}/{version.replace('.', '/')}").saveAsTable(version)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_STORED}' = '{version}') AS SELECT * FROM {version}")
+    if before:
+        spark.sql(f"DROP TABLE {before}")  # external: the files stay
 
 
 def append(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None:
-    df.write.mode("append").format("parquet").partitionBy(*partition_by).saveAsTable(name)
+    version = stored_in(df.sparkSession, name)
+    _writer(df, partition_by).mode("append").saveAsTable(version)
+    df.sparkSession.catalog.refreshTable(name)
+
+
+def _writer(df: DataFrame, partition_by: tuple[str, ...]):
+    if partition_by:
+        # Few files per partition; AQE splits a partition value that holds too much for one task.
+        return df.hint("rebalance", *partition_by).write.format("parquet").partitionBy(*partition_by)
+    return df.write.format("parquet")

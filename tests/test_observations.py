@@ -1,0 +1,194 @@
+import datetime as dt
+
+import pytest
+from conftest import as_dict, as_set
+
+from omnibus import params
+from omnibus.operators.upsert import RepeatedSourceKey
+from omnibus.plans import loads
+from omnibus.plans import observations as obs
+from omnibus.schemas import QR_CODES
+from omnibus.sources import files
+from omnibus.streaming.observations import SUBMISSION
+
+NOON = dt.datetime(2026, 8, 30, 12, 0)
+LATER = "id long, qr_code_id long, bus_number string, route_id string, problem_type string, severity string, " \
+        "description string, observed_at timestamp, latitude double, longitude double, " \
+        "anonymous_identifier string, status string, created_at timestamp"
+
+
+def at(minutes=0, seconds=0):
+    return NOON + dt.timedelta(minutes=minutes, seconds=seconds)
+
+
+def submit(i, token="QR-001", who="DEVICE-001", when=NOON, **other):
+    row = {
+        "id": i, "qr_token": token, "problem_type": "OVER_CROWDING", "severity": "HIGH",
+        "description": "Crowded", "observed_at": NOON, "latitude": 28.6, "longitude": 77.2,
+        "anonymous_identifier": who, "created_at": when,
+    }
+    return tuple({**row, **other}.values())
+
+
+@pytest.fixture
+def codes(rows):
+    return rows(
+        [
+            (1, "QR-001", "B-1", "R101", None, True, NOON),
+            (2, "QR-002", "B-2", "R102", None, True, NOON),
+            (3, "QR-003", "B-3", None, None, False, NOON),
+        ],
+        QR_CODES,
+    )
+
+
+def verdicts(rows, codes, data, **kw):
+    out = obs.classify(rows(data, SUBMISSION), codes, **kw)
+    return {r["id"]: r["verdict"] for r in out.collect()}
+
+
+def test_intake_sequence(rows, codes):
+    data = [
+        submit(1), submit(2, when=at(1)), submit(3, who="DEVICE-002", when=at(2)),
+        submit(4, token="QR-002", when=at(3)), submit(5, token="QR-404"), submit(6, token="QR-003"),
+        submit(7, when=at(60)), submit(8, when=at(60, 1)),
+    ]
+    assert verdicts(rows, codes, data) == {
+        1: "accepted", 2: "duplicate", 3: "accepted", 4: "accepted", 5: "unknown_token", 6: "inactive_token",
+        7: "duplicate", 8: "accepted",
+    }
+
+
+def test_each_reason_for_invalid(rows, codes):
+    bad = [
+        {"qr_token": ""}, {"qr_token": "x" * 51}, {"qr_token": None}, {"problem_type": "AC_OR_FAN"},
+        {"problem_type": None}, {"severity": "high"}, {"description": "x" * 1001}, {"observed_at": None},
+        {"latitude": 90.5}, {"longitude": -180.5}, {"anonymous_identifier": ""}, {"anonymous_identifier": "x" * 101},
+    ]
+    fine = [{"description": None}, {"latitude": None, "longitude": None}, {"latitude": -90.0, "longitude": 180.0}]
+    data = [submit(i, who=f"D{i}") for i in range(0)]
+    data = [submit(i, **({"who": f"D{i}"} | {}), **b) if "anonymous_identifier" not in b else submit(i, **b)
+            for i, b in enumerate(bad + fine)]
+    out = verdicts(rows, codes, data)
+    assert [out[i] for i in range(len(bad))] == ["invalid"] * len(bad)
+    assert [out[i] for i in range(len(bad), len(data))] == ["accepted"] * len(fine)
+
+
+def test_invalid_rows_do_not_hold_the_window(rows, codes):
+    data = [submit(1, problem_type="NO"), submit(2, when=at(1))]
+    assert verdicts(rows, codes, data) == {1: "invalid", 2: "accepted"}
+
+
+def test_rows_after_an_earlier_batch(rows, codes):
+    recent = rows([(1, "DEVICE-001", NOON)], "qr_code_id long, anonymous_identifier string, last_accepted timestamp")
+    data = [submit(1, when=at(-5)), submit(2, when=at(60)), submit(3, when=at(61)), submit(4, when=at(100))]
+    assert verdicts(rows, codes, data, recent=recent) == {1: "duplicate", 2: "duplicate", 3: "accepted", 4: "duplicate"}
+
+
+def test_accepted_rows_copy_route_and_bus(rows, codes):
+    done = obs.classify(rows([submit(1), submit(2, token="QR-404")], SUBMISSION), codes)
+    assert as_set(obs.accept(done), "id", "bus_number", "route_id", "status") == {(1, "B-1", "R101", "NEW")}
+    assert as_set(obs.quarantine(done), "id", "verdict") == {(2, "unknown_token")}
+
+
+def test_assignment_as_of(rows):
+    history = rows(
+        [("QR-001", at(0), "B-1", "R1"), ("QR-001", at(60 * 24 * 40), "B-2", "R2"), ("QR-002", at(5), "B-9", None)],
+        "qr_token string, valid_from timestamp, bus_number string, route_id string",
+    )
+    data = [
+        submit(1, when=at(-1)), submit(2, when=at(0)), submit(3, when=at(60 * 24 * 40 - 1)),
+        submit(4, when=at(60 * 24 * 40)), submit(5, token="QR-002", when=at(60 * 24 * 90)),
+    ]
+    out = as_set(obs.assignment_as_of(rows(data, SUBMISSION), history), "id", "bus_number", "route_id")
+    assert out == {(1, None, None), (2, "B-1", "R1"), (3, "B-1", "R1"), (4, "B-2", "R2"), (5, "B-9", None)}
+
+
+@pytest.fixture
+def table(rows):
+    kinds = ["OVER_CROWDING", "BUS_DELAY", "VEHICLE_CONDITION", "MAINTENANCE_ISSUE", "SAFETY_ISSUE", "LONG_SERVICE_GAP"]
+    levels = ["HIGH", "MEDIUM", "HIGH", "MEDIUM", "CRITICAL", "HIGH"]
+    routes = ["R101", "R101", "R102", "R102", None, "R103"]
+    data = [
+        (i, 1, "B", routes[i], kinds[i], levels[i], 'say "hi",\nplease' if i == 0 else None, NOON, 28.6, None,
+         "d", "NEW", NOON - dt.timedelta(days=i)) for i in range(6)
+    ]
+    return rows(data, LATER)
+
+
+def test_listing(table):
+    ids = lambda **kw: [r["id"] for r in obs.listing(table, NOON, **kw).collect()]
+    assert ids() == [0, 1, 2, 3, 4, 5]
+    assert ids(severity="HIGH", route_id="R102") == [2]
+    assert ids(days=2) == [0, 1, 2]  # the bound itself is in
+    assert ids(days=0, skip=2, limit=2) == [2, 3]
+    assert [r["id"] for r in obs.recent(table, NOON).collect()] == [0, 1, 2, 3, 4, 5]
+    with pytest.raises(ValueError):
+        ids(limit=1001)
+
+
+def test_status_changes(rows, table):
+    changes = rows(
+        [(0, "REVIEWED", at(1)), (0, "RESOLVED", at(2)), (1, "RESOLVED", at(1)), (1, "CLOSED", at(9)), (77, "NEW", at(1))],
+        "id long, status string, changed_at timestamp",
+    )
+    out = as_dict(obs.change_status(table, changes), "id")
+    assert len(out) == 6
+    assert [out[i]["status"] for i in range(3)] == ["RESOLVED", "RESOLVED", "NEW"]
+
+
+def test_rollups(table):
+    assert obs.summary(table).first().asDict() == {
+        "total_observations": 6, "new_observations": 6, "reviewed_observations": 0, "resolved_observations": 0,
+        "high_priority": 3, "critical_priority": 1,
+    }
+    assert [r["route_id"] for r in obs.route_rollup(table, NOON).collect()] == ["R101", "R102", "R103"]
+    assert obs.severity_distribution(table, NOON).columns == list(params.SEVERITIES)
+    assert tuple(obs.severity_distribution(table, NOON).first()) == (0, 2, 3, 1)
+    assert tuple(obs.severity_distribution(table.limit(0), NOON).first()) == (0, 0, 0, 0)
+    assert obs.by_route(table, NOON).where("route_id is null").count() == 0
+    assert obs.by_type(table, NOON, days=1).count() == 2
+    assert obs.top_problem_types(table).count() == 5
+    assert obs.type_rollup(table, NOON).count() == 6
+
+
+def test_registry(rows, codes):
+    offered = rows(
+        [
+            (10, "QR-001", "B", "R", None, True, NOON),          # exists
+            (11, "QR-010", "B", "R", None, None, at(1)),          # new, active by default
+            (12, "QR-010", "late", "R", None, None, at(2)),       # second offer of one token
+            (13, "", "B", "R", None, None, NOON),                 # no token
+            (14, "QR-011", "x" * 51, "R", None, None, NOON),      # bus number too long
+        ],
+        QR_CODES,
+    )
+    assert as_set(obs.register_codes(codes, offered), "id", "is_active") == {(11, True)}
+    assert [r["id"] for r in obs.newest_codes(codes).collect()] == [3, 2, 1]
+
+
+def test_export_and_scan_round_trip(spark, table, tmp_path):
+    path = files.export_observations(table, str(tmp_path), NOON, days=0, cap=None)
+    assert path.endswith("observations_20260830.csv")
+    back = files.read_observations(spark, path)
+    assert back.columns == list(params.EXPORT_COLUMNS)
+    out = as_dict(back, "id")
+    assert len(out) == 6 and out["0"]["description"] == 'say "hi",\nplease'
+    assert out["4"]["route_id"] == "" and out["1"]["description"] == "" and out["1"]["longitude"] == ""
+    capped = files.export_observations(table, str(tmp_path / "c"), NOON, days=3, cap=2)
+    assert [r["id"] for r in files.read_observations(spark, capped).collect()] == ["0", "1"]
+
+
+def test_observation_load_is_idempotent_and_keeps_old_rows(spark, table, tmp_path):
+    raw = files.read_observations(spark, files.export_observations(table, str(tmp_path / "a"), NOON, 0, None))
+    root, name = str(tmp_path / "t"), "obs_test.bronze_observations"
+    loads.load_observations(spark, raw.where("id <> '5'"), "obs_test", root)
+    changed = raw.where("id in ('0', '5')").replace("NEW", "REVIEWED", "status")
+    for _ in range(2):
+        loads.load_observations(spark, changed, "obs_test", root)
+        out = as_dict(spark.table(name), "id")
+        assert sorted(out) == [0, 1, 2, 3, 4, 5]
+        assert [out[i]["status"] for i in (0, 1, 5)] == ["REVIEWED", "NEW", "REVIEWED"]
+    with pytest.raises(RepeatedSourceKey):
+        loads.load_observations(spark, changed.unionByName(changed), "obs_test", root)
+    assert spark.table(name).count() == 6

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from omnibus.params import PROBLEM_TYPES, WEEKDAYS
+from omnibus.plans import silver
+from omnibus.plans.views import Views
 
 _REPEAT = "explode(sequence(0, if({}, 1, 0))) AS copy"
 
@@ -125,17 +127,16 @@ class Analogs:
 
     def dim_date(self) -> DataFrame:
         """One row per day that any fact uses."""
-        from omnibus.plans.silver import dim_date
-
-        return dim_date(self.date_bounds(), self.holidays())
+        return silver.dim_date(self.date_bounds(), self.holidays())
 
     def date_bounds(self) -> DataFrame:
         """First and last day over pings, weather and orders."""
         pings = self.table("events").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
         orders = self.table("orders").agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
         weather = self.weather().agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-        return pings.unionByName(orders).unionByName(weather.select(*[F.col(c).cast("timestamp_ntz").alias(c) for c in ("lo", "hi")])).agg(
-            F.min("lo").cast("date").alias("start"), F.max("hi").cast("date").alias("end")
+        days = [df.select(F.to_date("lo").alias("lo"), F.to_date("hi").alias("hi")) for df in (pings, orders, weather)]
+        return days[0].unionByName(days[1]).unionByName(days[2]).agg(
+            F.min("lo").alias("start"), F.max("hi").alias("end")
         )
 
     def holidays(self) -> DataFrame:
@@ -202,14 +203,14 @@ class Analogs:
             "concat('user', c_nationkey) AS user_email", "cast(c_custkey AS string) AS route_id"
         )
 
-    def star(self) -> dict[str, DataFrame]:
-        return {
-            "dim_route": self.dim_route(), "dim_stop": self.dim_stop(), "dim_trip": self.dim_trip(),
-            "dim_date": self.dim_date(), "fact_schedule": self.fact_schedule(),
-            "fact_vehicle_positions": self.fact_vehicle_positions(),
-            "fact_weather_daily": self.weather(), "fact_fuel_prices": self.fuel(),
-            "user_route_access": self.user_route_access(),
-        }
+    def star(self) -> Views:
+        return Views({
+            "dim_route": self.dim_route, "dim_stop": self.dim_stop, "dim_trip": self.dim_trip,
+            "dim_date": self.dim_date, "fact_schedule": self.fact_schedule,
+            "fact_vehicle_positions": self.fact_vehicle_positions,
+            "fact_weather_daily": self.weather, "fact_fuel_prices": self.fuel,
+            "user_route_access": self.user_route_access,
+        })
 
     # --- realtime feed -----------------------------------------------------------
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from omnibus import params
@@ -11,54 +11,95 @@ from omnibus.operators import quality as q
 from omnibus.schemas import LENGTHS
 
 
-def _too_long(table: str, limits: dict[str, int]):
-    return {f"length {table}.{c}": F.length(c) > n for c, n in limits.items()}
+Rules = dict[str, dict[str, Column]]  # table -> check -> condition of a violating row
+
+REQUIRED = {
+    "dim_route": ["route_id"], "dim_stop": ["stop_id"], "dim_trip": ["trip_id"],
+    "dim_date": ["date_key"], "user_route_access": ["user_email", "route_id"],
+}
+KEYS = {"dim_route": "route_id", "dim_stop": "stop_id", "dim_trip": "trip_id", "dim_date": "date"}
+PINGS, OBSERVATIONS = "fact_vehicle_positions", "observations"
+
+
+def _otherwise(condition: Column) -> Column:
+    """Not true: false or NULL."""
+    return ~F.coalesce(condition, F.lit(False))
+
+
+def _speed_rules() -> Rules:
+    return {PINGS: {"speed bound": F.col("derived_speed_kmh") > params.MAX_SPEED_KMH}}
+
+
+def _box_rules(lat_range, lon_range) -> Rules:
+    inside = geo.in_box(F.col("latitude"), F.col("longitude"), lat_range, lon_range)
+    return {PINGS: {"ping outside box": _otherwise(inside)}}
+
+
+def _null_rules() -> Rules:
+    return {t: {f"null {t}.{c}": F.col(c).isNull() for c in cols} for t, cols in REQUIRED.items()}
+
+
+def _domain_rules() -> Rules:
+    limits = {**LENGTHS, OBSERVATIONS: {"description": 1000}}
+    rules = {
+        t: {f"length {t}.{c}": F.length(c) > n for c, n in columns.items()} for t, columns in limits.items()
+    }
+    known = {
+        "problem_type": params.PROBLEM_TYPES, "severity": params.SEVERITIES, "status": params.STATUSES,
+    }
+    rules[OBSERVATIONS] |= {f"domain {c}": _otherwise(F.col(c).isin(*v)) for c, v in known.items()}
+    return rules
+
+
+def _count(model: dict[str, DataFrame], *groups: Rules) -> list[DataFrame]:
+    """Row rules of any number of groups, in one scan per table."""
+    merged: Rules = {}
+    for rules in groups:
+        for table, checks in rules.items():
+            merged.setdefault(table, {}).update(checks)
+    return [q.count_rows(model[table], checks) for table, checks in merged.items()]
 
 
 def speed_bound(positions: DataFrame) -> DataFrame:
-    return q.count_rows(positions, {"speed bound": F.col("derived_speed_kmh") > params.MAX_SPEED_KMH})
+    return q.together(_count({PINGS: positions}, _speed_rules()))
 
 
 def not_null(model: dict[str, DataFrame]) -> DataFrame:
-    required = {
-        "dim_route": ["route_id"], "dim_stop": ["stop_id"], "dim_trip": ["trip_id"],
-        "dim_date": ["date_key"], "user_route_access": ["user_email", "route_id"],
-    }
-    return q.together([
-        q.count_rows(model[t], {f"null {t}.{c}": F.col(c).isNull() for c in cols})
-        for t, cols in required.items()
-    ])
+    return q.together(_count(model, _null_rules()))
+
+
+def _unique(model: dict[str, DataFrame]) -> list[DataFrame]:
+    return [q.unique_key(f"unique {t}.{c}", model[t], [c]) for t, c in KEYS.items()]
 
 
 def unique_keys(model: dict[str, DataFrame]) -> DataFrame:
-    keys = {"dim_route": "route_id", "dim_stop": "stop_id", "dim_trip": "trip_id", "dim_date": "date"}
-    return q.together([q.unique_key(f"unique {t}.{c}", model[t], [c]) for t, c in keys.items()])
+    return q.together(_unique(model))
+
+
+def _orphans(model: dict[str, DataFrame]) -> list[DataFrame]:
+    tables = ("fact_schedule", PINGS, "dim_trip", "fact_weather_daily", "fact_fuel_prices")
+    return q.relationship_orphans(model, tables)
 
 
 def orphan_facts(model: dict[str, DataFrame]) -> DataFrame:
-    tables = ("fact_schedule", "fact_vehicle_positions", "dim_trip", "fact_weather_daily", "fact_fuel_prices")
-    return q.together(q.relationship_orphans(model, tables))
+    return q.together(_orphans(model))
+
+
+def _unique_pings(positions: DataFrame) -> DataFrame:
+    return q.unique_key("unique ping", positions, ["vehicle_id", "timestamp"])
 
 
 def position_rules(positions: DataFrame, lat_range=params.BOX_LAT, lon_range=params.BOX_LON) -> DataFrame:
-    inside = geo.in_box(F.col("latitude"), F.col("longitude"), lat_range, lon_range)
-    return q.together([
-        q.count_rows(positions, {"ping outside box": ~F.coalesce(inside, F.lit(False))}),
-        q.unique_key("unique ping", positions, ["vehicle_id", "timestamp"]),
-    ])
+    return q.together([*_count({PINGS: positions}, _box_rules(lat_range, lon_range)), _unique_pings(positions)])
 
 
 def domains(model: dict[str, DataFrame], observations: DataFrame) -> DataFrame:
     """Text lengths of the star tables; closed value lists of the observations."""
-    known = {
-        "problem_type": params.PROBLEM_TYPES, "severity": params.SEVERITIES, "status": params.STATUSES,
-    }
-    rules = {f"domain {c}": ~F.coalesce(F.col(c).isin(*v), F.lit(False)) for c, v in known.items()}
-    rules |= _too_long("observations", {"description": 1000})
-    return q.together([
-        *[q.count_rows(model[t], _too_long(t, limits)) for t, limits in LENGTHS.items()],
-        q.count_rows(observations, rules),
-    ])
+    return q.together(_count(_beside(model, observations), _domain_rules()))
+
+
+def _beside(model: dict[str, DataFrame], observations: DataFrame) -> dict[str, DataFrame]:
+    return {**{t: model[t] for t in LENGTHS}, OBSERVATIONS: observations}
 
 
 def calendar_cover(model: dict[str, DataFrame]) -> DataFrame:
@@ -76,9 +117,14 @@ def calendar_cover(model: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
-def all_checks(model: dict[str, DataFrame], observations: DataFrame) -> DataFrame:
-    pings = model["fact_vehicle_positions"]
+def all_checks(
+    model: dict[str, DataFrame], observations: DataFrame, lat_range=params.BOX_LAT, lon_range=params.BOX_LON
+) -> DataFrame:
+    """Every check; the row-level ones of a table share one scan."""
+    row_level = _count(
+        _beside(model, observations),
+        _speed_rules(), _box_rules(lat_range, lon_range), _null_rules(), _domain_rules(),
+    )
     return q.together([
-        speed_bound(pings), not_null(model), unique_keys(model), orphan_facts(model),
-        position_rules(pings), domains(model, observations), calendar_cover(model),
+        *row_level, *_unique(model), _unique_pings(model[PINGS]), *_orphans(model), calendar_cover(model),
     ])

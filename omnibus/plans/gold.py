@@ -12,12 +12,19 @@ value), which spreads a hot key, and shuffles one row per task for the rest.
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from omnibus import params
 from omnibus.functions import clock, measures
+from omnibus.plans.views import Views
+
+STAR_TABLES = (
+    "dim_route", "dim_stop", "dim_trip", "dim_date", "fact_schedule", "fact_vehicle_positions",
+    "fact_weather_daily", "fact_fuel_prices", "user_route_access",
+)
 
 
 def _served(schedule: DataFrame, trips: DataFrame, routes: DataFrame) -> DataFrame:
@@ -184,16 +191,22 @@ def not_stopped_pings() -> Column:
     return F.sum("position_pings") - F.sum("stopped_pings")
 
 
-def build_model(tables: dict[str, DataFrame], cutoff: dt.date = params.ACTIVITY_CUTOFF) -> dict[str, DataFrame]:
-    """Star tables plus the gold views over them, all lazy."""
-    schedule, trips, routes = tables["fact_schedule"], tables["dim_trip"], tables["dim_route"]
-    pings, weather = tables["fact_vehicle_positions"], tables["fact_weather_daily"]
-    return {
-        **tables,
-        "route_schedule_summary": route_schedule_summary(schedule, trips, routes),
-        "top_routes": top_routes(schedule, trips, routes),
-        "hourly_distribution": hourly_distribution(schedule),
-        "vehicle_activity": vehicle_activity(pings, routes, cutoff),
-        "weather_summary": weather_summary(weather),
-        "weather_vs_activity": weather_vs_activity(weather, pings),
+def build_model(tables: dict[str, DataFrame], cutoff: dt.date = params.ACTIVITY_CUTOFF) -> Views:
+    """The star tables and the gold views over them; each is planned when asked for."""
+
+    def network():
+        return tables["fact_schedule"], tables["dim_trip"], tables["dim_route"]
+
+    views = {
+        "route_schedule_summary": lambda: route_schedule_summary(*network()),
+        "top_routes": lambda: top_routes(*network()),
+        "hourly_distribution": lambda: hourly_distribution(tables["fact_schedule"]),
+        "vehicle_activity": lambda: vehicle_activity(
+            tables["fact_vehicle_positions"], tables["dim_route"], cutoff
+        ),
+        "weather_summary": lambda: weather_summary(tables["fact_weather_daily"]),
+        "weather_vs_activity": lambda: weather_vs_activity(
+            tables["fact_weather_daily"], tables["fact_vehicle_positions"]
+        ),
     }
+    return Views({**{name: partial(tables.__getitem__, name) for name in STAR_TABLES}, **views})

@@ -23,6 +23,7 @@ STAR = {
     "fact_fuel_prices": schemas.FACT_FUEL,
 }
 POSITIONS = "fact_vehicle_positions"
+POSITION_PARTITIONS = ("ingest_day", "ping_date")
 OBSERVATIONS = "bronze_observations"
 
 
@@ -40,33 +41,37 @@ def load_star(sources: dict[str, DataFrame], schema: str, root: str) -> None:
         tables.publish(star_columns(name, sources[name]), f"{schema}.{name}", root)
 
 
-def watermark(target: DataFrame) -> dt.datetime | None:
-    """Newest parseable ingestion second of the target."""
-    return target.agg(F.max(clock.ingest_second(F.col("ingested_at"))).alias("w")).first()["w"]
+def watermark(spark: SparkSession, name: str) -> dt.datetime | None:
+    """Newest parseable ingestion second of the table.
 
-
-def rows_to_load(source: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Source rows strictly newer than the target; all of them for a full reload.
-
-    With a watermark, rows whose ingestion time does not parse stay out.
+    Only the partition of the newest ingestion day is read.
     """
-    return silver.newer_than(source, None if target is None else watermark(target))
+    day = F.regexp_extract("partition", "ingest_day=([0-9-]{10})", 1)
+    stored = spark.sql(f"SHOW PARTITIONS {tables.stored_in(spark, name)}")
+    newest = stored.agg(F.max(day).alias("day")).first()["day"]
+    if not newest:
+        return None
+    last = spark.table(name).where(F.col("ingest_day") == F.lit(dt.date.fromisoformat(newest)))
+    return last.agg(F.max(clock.ingest_second(F.col("ingested_at"))).alias("w")).first()["w"]
 
 
 def load_positions(
     spark: SparkSession, source: DataFrame, schema: str, root: str, full_reload: bool = False
 ) -> None:
-    """Append newer silver pings to the warehouse table, or replace it.
+    """Append silver pings newer than the warehouse table's watermark, or replace the table.
 
-    The table is partitioned by ping date, which the gold views filter and
-    join on.
+    Newer is strict, at second grain.  An empty table, or one without any
+    parseable ingestion time, takes all rows; otherwise rows whose time does not
+    parse stay out.  The table is partitioned by ingestion day, which bounds
+    what the next load reads, and by ping date, which the gold views filter on.
     """
     name = f"{schema}.{POSITIONS}"
-    rows = source.select(*schemas.names(schemas.FACT_POSITIONS), "ping_hour", "ping_date")
+    rows = source if "ingest_day" in source.columns else silver.with_ingest_day(source)
+    rows = rows.select(*schemas.names(schemas.FACT_POSITIONS), "ping_hour", *POSITION_PARTITIONS)
     if full_reload or not tables.exists(spark, name):
-        tables.publish(rows, name, root, ("ping_date",))
+        tables.publish(rows, name, root, POSITION_PARTITIONS)
     else:
-        tables.append(rows_to_load(rows, spark.table(name)), name, ("ping_date",))
+        tables.append(silver.newer_than(rows, watermark(spark, name)), name, POSITION_PARTITIONS)
 
 
 def load_observations(

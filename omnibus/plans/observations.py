@@ -15,7 +15,6 @@ from omnibus.functions import clock
 from omnibus.operators.asof import last_before
 from omnibus.operators.dedupe import keep_first, keep_last
 from omnibus.operators.spacing import keep_spaced
-from omnibus.operators.upsert import upsert
 
 SPACING_KEYS = ["qr_code_id", "anonymous_identifier"]
 
@@ -167,8 +166,9 @@ def change_status(observations: DataFrame, changes: DataFrame) -> DataFrame:
     """
     valid = changes.where(F.col("status").isin(*params.STATUSES)).select("id", "status", "changed_at")
     last = keep_last(valid, ["id"], ["changed_at"]).select("id", F.col("status").alias("_new"))
-    changed = observations.join(last, "id").withColumn("status", F.col("_new"))
-    return upsert(observations, changed.select(*observations.columns), "id")
+    return observations.join(last, "id", "left").withColumn(
+        "status", F.coalesce("_new", "status")
+    ).select(*observations.columns)
 
 
 def by_route(

@@ -6,6 +6,13 @@ are written independently of the Spark expressions.
 
 from __future__ import annotations
 
+# Average of the moving speeds, half up at two decimals.  Speeds lie on a quarter grid, so hundredfold sums
+# are integers and the rounding is exact; rounding the binary average would turn some halves down.
+_MOVING = "derived_speed_kmh > 2 AND derived_speed_kmh <= 120"
+_MOVING_AVG = f"""
+               ((2 * CAST(sum(derived_speed_kmh) FILTER (WHERE {_MOVING}) * 100 AS BIGINT)
+                 + count(*) FILTER (WHERE {_MOVING})) // nullif(2 * count(*) FILTER (WHERE {_MOVING}), 0)) / 100.0::DOUBLE"""
+
 INPUTS: dict[str, str] = {
     # --- landed schedule files
     "copies": "SELECT * FROM (VALUES (0), (1)) AS v(copy)",
@@ -155,12 +162,11 @@ INPUTS: dict[str, str] = {
                     WHEN departure_hour BETWEEN 10 AND 16 THEN 'Mid-day'
                     WHEN departure_hour BETWEEN 20 AND 23 THEN 'Night' ELSE 'Early Morning' END AS time_slot
         FROM fact_schedule GROUP BY departure_hour""",
-    "activity": """
+    "activity": f"""
         SELECT v.route_id, r.route_long_name AS route_name, v.ping_hour AS activity_hour,
                CAST(v.ping_date AS VARCHAR) AS activity_date, count(*) AS position_pings,
                count(DISTINCT v.vehicle_id) AS unique_vehicles,
-               round(avg(CASE WHEN derived_speed_kmh > 2 AND derived_speed_kmh <= 120
-                              THEN derived_speed_kmh END), 2) AS avg_speed_kmh,
+               {_MOVING_AVG} AS avg_speed_kmh,
                count(*) FILTER (WHERE derived_speed_kmh < 2) AS stopped_pings,
                CAST(round(100.0 * count(*) FILTER (WHERE derived_speed_kmh < 2) / nullif(count(*), 0), 1) AS DOUBLE)
                  AS pct_stopped
@@ -172,11 +178,10 @@ INPUTS: dict[str, str] = {
                round(avg(precipitation_mm), 2) AS avg_rain_mm, round(max(precipitation_mm), 2) AS max_rain_mm,
                round(avg(windspeed_max_kmh), 1) AS avg_wind_kmh, CAST(sum(is_rainy_day) AS BIGINT) AS rainy_days
         FROM weather GROUP BY weather_label""",
-    "impact": """
+    "impact": f"""
         SELECT CAST(w.date AS VARCHAR) AS date, w.weather_label, w.is_rainy_day, w.precipitation_mm, w.temp_avg_c,
                count(v.vehicle_id) AS total_pings, count(DISTINCT v.vehicle_id) AS active_buses,
-               round(avg(CASE WHEN derived_speed_kmh > 2 AND derived_speed_kmh <= 120
-                              THEN derived_speed_kmh END), 2) AS avg_speed_kmh,
+               {_MOVING_AVG} AS avg_speed_kmh,
                count(*) FILTER (WHERE derived_speed_kmh < 2) AS stopped_pings,
                CAST(round(100.0 * count(*) FILTER (WHERE derived_speed_kmh < 2) / nullif(count(*), 0), 1) AS DOUBLE)
                  AS pct_stopped

@@ -159,11 +159,18 @@ def vehicle_positions(bronze: DataFrame, lat_range=params.BOX_LAT, lon_range=par
     return silver.select(*names(FACT_POSITIONS), "ping_date", "ping_hour")
 
 
-def newer_than(bronze: DataFrame, watermark: dt.datetime | None) -> DataFrame:
-    """Bronze rows ingested after the watermark; all rows when there is none."""
+def with_ingest_day(pings: DataFrame) -> DataFrame:
+    """Stored ``ingest_day``, so that an incremental load reads recent folders only."""
+    return pings.withColumn("ingest_day", clock.ingest_second(F.col("ingested_at")).cast("date"))
+
+
+def newer_than(rows: DataFrame, watermark: dt.datetime | None) -> DataFrame:
+    """Rows ingested after the watermark; all rows when there is none."""
     if watermark is None:
-        return bronze
-    return bronze.where(clock.ingest_second(F.col("ingested_at")) > F.lit(watermark).cast("timestamp_ntz"))
+        return rows
+    if "ingest_day" in rows.columns:
+        rows = rows.where(F.col("ingest_day") >= F.lit(watermark.date()))
+    return rows.where(clock.ingest_second(F.col("ingested_at")) > F.lit(watermark).cast("timestamp_ntz"))
 
 
 def typed_observations(raw: DataFrame, ingested_at=None, id_type: str = "int") -> DataFrame:

@@ -16,6 +16,7 @@ from omnibus import params, schemas
 from omnibus.functions import clock
 from omnibus.operators.dedupe import keep_last
 from omnibus.plans import loads, silver
+from omnibus.sources.shared import cut
 
 
 def entities(snapshots: DataFrame, ingested_at: Column) -> DataFrame:
@@ -66,7 +67,7 @@ class SilverBuilder:
         self.box = (lat_range, lon_range)
 
     def silver(self, before: int | None = None) -> DataFrame:
-        ddl = f"{schemas.FACT_POSITIONS}, ping_hour int, batch_id bigint, ping_date date"
+        ddl = f"{schemas.FACT_POSITIONS}, ping_hour int, batch_id bigint, ingest_day date, ping_date date"
         rows = self._read("silver", ddl)
         return rows if before is None else rows.where(F.col("batch_id") < before)
 
@@ -87,7 +88,8 @@ class SilverBuilder:
 
     def __call__(self, bronze: DataFrame, batch_id: int) -> None:
         columns = schemas.names(schemas.BRONZE_POSITIONS)
-        pings = silver.one_per_instant(silver.inside_city(bronze.select(*columns), *self.box))
+        # Cut once: the batch is used by every step below.
+        pings = cut(silver.one_per_instant(silver.inside_city(bronze.select(*columns), *self.box)))
         dated = silver.with_wall_clock(pings)
         span = dated.agg(F.min("ping_date").alias("lo"), F.max("ping_date").alias("hi")).first()
 
@@ -105,10 +107,11 @@ class SilverBuilder:
         marked = fresh.withColumn("_new", F.lit(True)).unionByName(
             silver.one_per_instant(carried).withColumn("_new", F.lit(False))
         )
-        rows = silver.with_wall_clock(silver.with_speed(marked).where("_new").drop("_new"))
+        rows = silver.with_ingest_day(silver.with_wall_clock(silver.with_speed(marked).where("_new").drop("_new")))
         (
-            rows.select(*schemas.names(schemas.FACT_POSITIONS), "ping_hour", "ping_date")
-            .write.mode("overwrite").partitionBy("ping_date")
+            rows.select(*schemas.names(schemas.FACT_POSITIONS), "ping_hour", *loads.POSITION_PARTITIONS)
+            .hint("rebalance", *loads.POSITION_PARTITIONS)
+            .write.mode("overwrite").partitionBy(*loads.POSITION_PARTITIONS)
             .parquet(f"{self.root}/silver/batch_id={batch_id}")
         )
         self._write_latest(fresh, latest, batch_id)

@@ -49,11 +49,12 @@ def orphans(name: str, facts: DataFrame, column: str, dim: DataFrame, key: str)
     )
 
 
-def relationship_orphans(model: dict[str, DataFrame], tables: tuple[str, ...]) -> list[DataFrame]:
+def relationship_orphans(model: dict[str, DataFrame], tables: set[str]) -> list[DataFrame]:
+    """One check per relationship between the given tables."""
     return [
         orphans(f"orphan {many}.{column}", model[many], column, model[one], key)
         for many, column, one, key in RELATIONSHIPS
-        if many in tables
+        if many in tables and one in tables
     ]
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from omnibus.sources.shared import cut
 
 _US = 1_000_000
-FOLD_LIMIT = 4096
+FOLD_LIMIT = 20_000
 
 
 def keep_spaced(

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from omnibus import params
-from omnibus.functions import clock, geo
+from omnibus.functions import geo
 from omnibus.operators import quality as q
+from omnibus.plans.gold import STAR_TABLES
+from omnibus.plans.silver import with_wall_clock
 from omnibus.schemas import LENGTHS
 
 
@@ -51,12 +53,13 @@ def _domain_rules() -> Rules:
     return rules
 
 
-def _count(model: dict[str, DataFrame], *groups: Rules) -> list[DataFrame]:
+def _count(model: dict[str, DataFrame], *groups: Rules, only: set[str] | None = None) -> list[DataFrame]:
     """Row rules of any number of groups, in one scan per table."""
     merged: Rules = {}
     for rules in groups:
         for table, checks in rules.items():
-            merged.setdefault(table, {}).update(checks)
+            if only is None or table in only:
+                merged.setdefault(table, {}).update(checks)
     return [q.count_rows(model[table], checks) for table, checks in merged.items()]
 
 
@@ -68,21 +71,16 @@ def not_null(model: dict[str, DataFrame]) -> DataFrame:
     return q.together(_count(model, _null_rules()))
 
 
-def _unique(model: dict[str, DataFrame]) -> list[DataFrame]:
-    return [q.unique_key(f"unique {t}.{c}", model[t], [c]) for t, c in KEYS.items()]
+def _unique(model: dict[str, DataFrame], only: set[str]) -> list[DataFrame]:
+    return [q.unique_key(f"unique {t}.{c}", model[t], [c]) for t, c in KEYS.items() if t in only]
 
 
 def unique_keys(model: dict[str, DataFrame]) -> DataFrame:
-    return q.together(_unique(model))
+    return q.together(_unique(model, set(KEYS)))
 
 
-def _orphans(model: dict[str, DataFrame]) -> list[DataFrame]:
-    tables = ("fact_schedule", PINGS, "dim_trip", "fact_weather_daily", "fact_fuel_prices")
-    return q.relationship_orphans(model, tables)
-
-
-def orphan_facts(model: dict[str, DataFrame]) -> DataFrame:
-    return q.together(_orphans(model))
+def orphan_facts(model: dict[str, DataFrame], only: set[str] = frozenset(STAR_TABLES)) -> DataFrame:
+    return q.together(q.relationship_orphans(model, only))
 
 
 def _unique_pings(positions: DataFrame) -> DataFrame:
@@ -95,36 +93,38 @@ def position_rules(positions: DataFrame, lat_range=params.BOX_LAT, lon_range=par
 
 def domains(model: dict[str, DataFrame], observations: DataFrame) -> DataFrame:
     """Text lengths of the star tables; closed value lists of the observations."""
-    return q.together(_count(_beside(model, observations), _domain_rules()))
-
-
-def _beside(model: dict[str, DataFrame], observations: DataFrame) -> dict[str, DataFrame]:
-    return {**{t: model[t] for t in LENGTHS}, OBSERVATIONS: observations}
+    tables = {**{t: model[t] for t in LENGTHS}, OBSERVATIONS: observations}
+    return q.together(_count(tables, _domain_rules()))
 
 
-def calendar_cover(model: dict[str, DataFrame]) -> DataFrame:
+def calendar_cover(model: dict[str, DataFrame], only: set[str] = frozenset(STAR_TABLES)) -> DataFrame:
     """Fact dates that the calendar does not reach."""
-    pings = model["fact_vehicle_positions"]
-    stored = "ping_date" in pings.columns
-    day = F.col("ping_date") if stored else clock.wall_date(F.col("timestamp"), strict=False)
-    dated = {
-        "fact_vehicle_positions": pings.select(day.alias("date")),
-        "fact_weather_daily": model["fact_weather_daily"].select("date"),
-        "fact_fuel_prices": model["fact_fuel_prices"].select("date"),
-    }
-    return q.together([
-        q.orphans(f"calendar {t}", df, "date", model["dim_date"], "date") for t, df in dated.items()
-    ])
+    found = []
+    for table in (PINGS, "fact_weather_daily", "fact_fuel_prices"):
+        if table in only:
+            facts = model[table]
+            if table == PINGS:
+                facts = facts if "ping_date" in facts.columns else with_wall_clock(facts)
+                facts = facts.withColumn("date", F.col("ping_date"))
+            found.append(q.orphans(f"calendar {table}", facts, "date", model["dim_date"], "date"))
+    return q.together(found)
 
 
 def all_checks(
-    model: dict[str, DataFrame], observations: DataFrame, lat_range=params.BOX_LAT, lon_range=params.BOX_LON
+    model: dict[str, DataFrame],
+    observations: DataFrame | None = None,
+    only: set[str] = frozenset(STAR_TABLES),
+    lat_range=params.BOX_LAT,
+    lon_range=params.BOX_LON,
 ) -> DataFrame:
-    """Every check; the row-level ones of a table share one scan."""
+    """Every check of the chosen tables; the row-level ones of a table share one scan."""
+    tables = {t: model[t] for t in only}
+    if observations is not None:
+        tables[OBSERVATIONS] = observations
     row_level = _count(
-        _beside(model, observations),
-        _speed_rules(), _box_rules(lat_range, lon_range), _null_rules(), _domain_rules(),
+        tables, _speed_rules(), _box_rules(lat_range, lon_range), _null_rules(), _domain_rules(), only=set(tables)
     )
+    pings = [_unique_pings(tables[PINGS])] if PINGS in only else []
     return q.together([
-        *row_level, *_unique(model), _unique_pings(model[PINGS]), *_orphans(model), calendar_cover(model),
+        *row_level, *_unique(tables, only), *pings, orphan_facts(tables, only), calendar_cover(tables, only),
     ])

@@ -26,6 +26,11 @@ STAR_TABLES = (
     "fact_weather_daily", "fact_fuel_prices", "user_route_access",
 )
 
+GOLD_VIEWS = (
+    "route_schedule_summary", "top_routes", "hourly_distribution", "vehicle_activity",
+    "weather_summary", "weather_vs_activity",
+)
+
 
 def _served(schedule: DataFrame, trips: DataFrame, routes: DataFrame) -> DataFrame:
     """Stop events per route, with names and copies of the route row."""

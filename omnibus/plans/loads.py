@@ -11,6 +11,7 @@ from omnibus import schemas
 from omnibus.functions import clock
 from omnibus.operators.upsert import upsert
 from omnibus.plans import silver
+from omnibus.plans.gold import GOLD_VIEWS
 from omnibus.sources import tables
 
 STAR = {
@@ -74,6 +75,12 @@ def load_positions(
         tables.append(silver.newer_than(rows, watermark(spark, name)), name, POSITION_PARTITIONS)
 
 
+def materialize_gold(model: dict[str, DataFrame], schema: str, root: str) -> None:
+    """Store the gold views as tables, for readers that should not recompute them."""
+    for name in GOLD_VIEWS:
+        tables.publish(model[name], f"{schema}.{name}_gold", root)
+
+
 def load_observations(
     spark: SparkSession, raw: DataFrame, schema: str, root: str, id_type: str = "int"
 ) -> None:

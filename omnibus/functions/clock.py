@@ -71,4 +71,4 @@ def days_before(as_of: Column, days: int) -> Column:
 
 def local_display(utc: Column, zone: str = params.DISPLAY_ZONE) -> Column:
     """Short local date and time of a UTC timestamp, for screens."""
-    return F.date_format(F.from_utc_timestamp(utc, zone), "dd MMM, HH:mm")
+    return F.date_format(F.from_utc_timestamp(utc, zone), "d MMM, HH:mm")

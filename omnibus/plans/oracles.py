@@ -636,7 +636,7 @@ _STATEMENTS = {
     "o13_registry_load": """
         SELECT id + 1000000 AS id, qr_token, 1 AS is_active FROM qr_codes WHERE NOT is_active""",
     "o14_local_display": """
-        SELECT id, strftime(created_at + INTERVAL 330 MINUTE, '%d %b, %H:%M') AS observed_local,
+        SELECT id, strftime(created_at + INTERVAL 330 MINUTE, '%-d %b, %H:%M') AS observed_local,
                replace(problem_type, '_', ' ') AS problem_label FROM observations""",
     "q1_speed_bound": _SPEED,
     "q2_gate_on_silver": _zeros("speed bound", "ping outside box", "unique ping"),

@@ -114,6 +114,15 @@ VISUALS: dict[str, Visual] = {
     "v50": Visual(CUSTOMER, WEATHER, pick="weather_label"),
 }
 
+# The order a visual is shown in; a leading minus means descending.
+SORTS = {
+    "v01": "-sum_total_departures", "v04": "date", "v06": "-sum_scheduled_trips", "v07": "-sum_total_days",
+    "v12": "-sum_total_departures", "v15": "-sum_scheduled_trips", "v16": "-count_distinct_total_departures",
+    "v20": "-sum_unique_stops_served", "v22": "-not_stopped_pings", "v24": "-sum_position_pings",
+    "v28": "-avg_avg_speed_kmh", "v33": "-timestamp", "v34": "-count_distinct_stopped_pings",
+    "v35": "-count_vehicle_id", "v37": "-avg_speed", "v42": "date", "v43": "-sum_total_days", "v47": "date",
+}
+
 # Slicer state the report is saved with, per page.
 SAVED_SLICERS: dict[str, tuple[Slicer, ...]] = {
     PLANNING: (Slicer("dim_route", "route_long_name", "not_null"),),
@@ -127,7 +136,9 @@ def report_query(
     slicers: Iterable[Slicer] = (),
     viewer: Viewer | None = None,
     saved_state: bool = False,
+    in_order: bool = False,
 ) -> DataFrame:
+    """One visual's rows; ``in_order`` adds the order it is shown in."""
     visual = VISUALS[visual_id]
     active = tuple(slicers) + (SAVED_SLICERS.get(visual.page, ()) if saved_state else ())
     df = visible(model, visual.table, active, viewer)
@@ -137,7 +148,11 @@ def report_query(
         df = df.where(visual.where)
     measures = [_measure(*m) for m in visual.measures]
     grouped = df.groupBy(*visual.by).agg(*measures) if visual.by else df.agg(*measures)
-    return _largest(grouped, visual) if visual.top else grouped
+    shown = _largest(grouped, visual) if visual.top else grouped
+    if in_order and visual_id in SORTS:
+        column = SORTS[visual_id]
+        shown = shown.orderBy(F.desc(column[1:]) if column.startswith("-") else F.asc(column))
+    return shown
 
 
 def _largest(grouped: DataFrame, visual: Visual) -> DataFrame:

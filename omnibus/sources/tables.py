@@ -16,6 +16,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from omnibus.sources.shared import cut
+
 _STORED = "stored_in"
 
 
@@ -31,9 +33,7 @@ def stored_in(spark: SparkSession, name: str) -> str:
 def publish(df: DataFrame, name: str, root: str, partition_by: tuple[str, ...] = ()) -> None:
     """Create the table, or replace all its rows."""
     spark, root = df.sparkSession, root.rstrip("/")
-    if "." in name:
-        schema = name.rsplit(".", 1)[0]
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root}/{schema}.db'")
+    _ensure_schema(spark, name, root)
     before = stored_in(spark, name) if exists(spark, name) else None
     version = f"{name}_{uuid.uuid4().hex}"
     _writer(df, partition_by).option("path", f"{root}/{version.replace('.', '/')}").saveAsTable(version)
@@ -48,6 +48,41 @@ def append(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None
     df.sparkSession.catalog.refreshTable(name)
 
 
+def ensure_batches(spark: SparkSession, name: str, ddl: str, partition_by: tuple[str, ...], root: str) -> None:
+    """Create an empty table whose rows come in replayable batches, if it is not there."""
+    root = root.rstrip("/")
+    _ensure_schema(spark, name, root)
+    by = ", ".join(("batch_id", *partition_by))
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet PARTITIONED BY ({by}) "
+        f"LOCATION '{root}/{name.replace('.', '/')}'"
+    )
+
+
+def write_batch(df: DataFrame, name: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
+    """Store one batch; a replay replaces what the same batch wrote before.
+
+    The batch is cut from its inputs first, as they usually include the table.
+    """
+    spark, df = df.sparkSession, cut(df)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    target = ", ".join((f"batch_id = {batch_id}", *partition_by))
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({target}) SELECT * FROM {{rows}}", rows=df)
+
+
+def read_batches(spark: SparkSession, name: str) -> DataFrame:
+    """All batches; filters on partition columns are answered by the catalog."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def _ensure_schema(spark: SparkSession, name: str, root: str) -> None:
+    if "." in name:
+        schema = name.rsplit(".", 1)[0]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root}/{schema}.db'")
+
+
 def _writer(df: DataFrame, partition_by: tuple[str, ...]):
     if partition_by:
         # Few files per partition; AQE splits a partition value that holds too much for one task.

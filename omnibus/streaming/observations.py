@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from omnibus import params
+from omnibus import params, schemas
 from omnibus.plans import observations as obs
+from omnibus.sources import tables
 
 CLASSIFIED = (
     "qr_token string, id bigint, problem_type string, severity string, description string, "
@@ -23,37 +26,34 @@ SUBMISSION = (
 class Intake:
     """The foreachBatch body: classify a batch against what was accepted before.
 
-    Output folders are named by verdict day and batch, so a replayed batch
-    overwrites itself, and the look-back reads only the days it can matter for.
+    The verdicts are partitioned by batch and submission day, so a replayed
+    batch replaces itself, and the look-back reads only the days that matter.
     """
 
-    def __init__(self, spark: SparkSession, qr_codes: DataFrame, root: str,
+    def __init__(self, spark: SparkSession, qr_codes: DataFrame, name: str, root: str,
                  window_minutes: int = params.DUPLICATE_WINDOW_MINUTES):
-        self.spark, self.qr_codes, self.root = spark, qr_codes, root.rstrip("/")
-        self.window_minutes = window_minutes
+        self.qr_codes, self.name, self.window_minutes = qr_codes, name, window_minutes
+        tables.ensure_batches(spark, name, f"{CLASSIFIED}, batch_id bigint, created_day date", ("created_day",), root)
 
-    def classified(self) -> DataFrame:
-        ddl = f"{CLASSIFIED}, batch_id bigint, created_day date"
-        return self.spark.read.schema(ddl).option("basePath", self.root).parquet(f"{self.root}/batch_id=*")
+    def classified(self, spark: SparkSession) -> DataFrame:
+        return tables.read_batches(spark, self.name)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         rows = obs.classify(batch, self.qr_codes, self.window_minutes, self._recent(batch, batch_id))
-        (
-            rows.withColumn("created_day", F.to_date("created_at"))
-            .write.mode("overwrite").partitionBy("created_day")
-            .parquet(f"{self.root}/batch_id={batch_id}")
-        )
+        dated = rows.withColumn("created_day", F.to_date("created_at"))
+        columns = [*schemas.names(CLASSIFIED), "created_day"]
+        tables.write_batch(dated.select(*columns), self.name, batch_id, ("created_day",))
 
     def _recent(self, batch: DataFrame, batch_id: int) -> DataFrame | None:
         """Last accepted time per key of earlier batches, as far back as can matter."""
         oldest = batch.agg(F.min("created_at").alias("t")).first()["t"]
         if batch_id == 0 or oldest is None:
             return None
-        since = F.lit(oldest) - F.make_dt_interval(mins=F.lit(self.window_minutes))
+        since = oldest - dt.timedelta(minutes=self.window_minutes)
         return (
-            self.classified()
-            .where((F.col("batch_id") < batch_id) & (F.col("created_day") >= F.to_date(since)))
-            .where((F.col("verdict") == "accepted") & (F.col("created_at") >= since))
+            self.classified(batch.sparkSession)
+            .where((F.col("batch_id") < batch_id) & (F.col("created_day") >= F.lit(since.date())))
+            .where((F.col("verdict") == "accepted") & (F.col("created_at") >= F.lit(since)))
             .groupBy(*obs.SPACING_KEYS)
             .agg(F.max("created_at").alias("last_accepted"))
         )

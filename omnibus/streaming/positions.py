@@ -1,8 +1,8 @@
 """Realtime cycle: land snapshots, build silver incrementally, load the warehouse.
 
-Both streams keep their progress in checkpoints, and each silver batch owns a
-folder named by its id, so a batch that is replayed after a failure overwrites
-its own output and nothing else.
+Both streams keep their progress in checkpoints, and silver is partitioned by
+batch id, so a batch that is replayed after a failure replaces its own output
+and nothing else.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from omnibus import params, schemas
 from omnibus.functions import clock
 from omnibus.operators.dedupe import keep_last
 from omnibus.plans import loads, silver
+from omnibus.sources import tables
 from omnibus.sources.shared import cut
 
 
@@ -54,46 +55,39 @@ class SilverBuilder:
 
     Carried between batches: silver itself, for copies of a ping that came
     before, and one latest ping per vehicle, for the speed of the next one.
-    Pings later than that are linked through silver of their vehicles.  A late
+    Pings older than that are linked through silver of their vehicles.  A late
     ping gets its own speed but does not change rows already written; a full
     rebuild with ``silver.vehicle_positions`` does.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str,
+        self, spark: SparkSession, schema: str, root: str,
         lat_range=params.BOX_LAT, lon_range=params.BOX_LON,
     ):
-        self.spark, self.root = spark, root.rstrip("/")
         self.box = (lat_range, lon_range)
+        self.positions = f"{schema}.silver_vehicle_positions"
+        self.latest_pings = f"{schema}.silver_latest_pings"
+        stored = f"{schemas.FACT_POSITIONS}, ping_hour int, batch_id bigint, ingest_day date, ping_date date"
+        tables.ensure_batches(spark, self.positions, stored, loads.POSITION_PARTITIONS, root)
+        tables.ensure_batches(spark, self.latest_pings, f"{schemas.BRONZE_POSITIONS}, batch_id bigint", (), root)
 
-    def silver(self, before: int | None = None) -> DataFrame:
-        ddl = f"{schemas.FACT_POSITIONS}, ping_hour int, batch_id bigint, ingest_day date, ping_date date"
-        rows = self._read("silver", ddl)
-        return rows if before is None else rows.where(F.col("batch_id") < before)
+    def silver(self, spark: SparkSession) -> DataFrame:
+        return tables.read_batches(spark, self.positions)
 
-    def latest(self, batch_id: int) -> DataFrame:
+    def latest(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """Latest ping per vehicle as of the batch before."""
-        ddl = f"{schemas.BRONZE_POSITIONS}, batch_id bigint"
-        return self._read("latest", ddl).where(F.col("batch_id") == batch_id - 1).drop("batch_id")
-
-    def _read(self, part: str, ddl: str) -> DataFrame:
-        folder = f"{self.root}/{part}"
-        if self._present(folder):
-            return self.spark.read.schema(ddl).option("basePath", folder).parquet(folder)
-        return self.spark.createDataFrame([], ddl)
-
-    def _present(self, folder: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        stored = tables.read_batches(spark, self.latest_pings)
+        return stored.where(F.col("batch_id") == batch_id - 1).drop("batch_id")
 
     def __call__(self, bronze: DataFrame, batch_id: int) -> None:
+        spark = bronze.sparkSession
         columns = schemas.names(schemas.BRONZE_POSITIONS)
         # Cut once: the batch is used by every step below.
         pings = cut(silver.one_per_instant(silver.inside_city(bronze.select(*columns), *self.box)))
         dated = silver.with_wall_clock(pings)
         span = dated.agg(F.min("ping_date").alias("lo"), F.max("ping_date").alias("hi")).first()
 
-        known = self.silver(before=batch_id)
+        known = self.silver(spark).where(F.col("batch_id") < batch_id)
         # Copies of a ping share its date, so only the batch's dates are read.
         near = F.col("ping_date").isNull()
         if span["lo"] is not None:
@@ -102,19 +96,15 @@ class SilverBuilder:
         match = dated["vehicle_id"].eqNullSafe(seen["vehicle_id"]) & dated["timestamp"].eqNullSafe(seen["timestamp"])
         fresh = dated.join(seen, match, "left_anti").select(*columns)
 
-        latest = self.latest(batch_id).select(*columns)
+        latest = self.latest(spark, batch_id).select(*columns)
         carried = latest.unionByName(self._history_of_late(fresh, latest, known).select(*columns))
         marked = fresh.withColumn("_new", F.lit(True)).unionByName(
             silver.one_per_instant(carried).withColumn("_new", F.lit(False))
         )
         rows = silver.with_ingest_day(silver.with_wall_clock(silver.with_speed(marked).where("_new").drop("_new")))
-        (
-            rows.select(*schemas.names(schemas.FACT_POSITIONS), "ping_hour", *loads.POSITION_PARTITIONS)
-            .hint("rebalance", *loads.POSITION_PARTITIONS)
-            .write.mode("overwrite").partitionBy(*loads.POSITION_PARTITIONS)
-            .parquet(f"{self.root}/silver/batch_id={batch_id}")
-        )
-        self._write_latest(fresh, latest, batch_id)
+        rows = rows.select(*schemas.names(schemas.FACT_POSITIONS), "ping_hour", *loads.POSITION_PARTITIONS)
+        tables.write_batch(rows, self.positions, batch_id, loads.POSITION_PARTITIONS)
+        tables.write_batch(self._newest(fresh, latest), self.latest_pings, batch_id)
 
     def _history_of_late(self, fresh: DataFrame, latest: DataFrame, known: DataFrame) -> DataFrame:
         """Silver rows of vehicles with a ping older than their latest one."""
@@ -128,11 +118,10 @@ class SilverBuilder:
             return known.limit(0)
         return known.join(late, "vehicle_id", "left_semi")
 
-    def _write_latest(self, fresh: DataFrame, latest: DataFrame, batch_id: int) -> None:
+    def _newest(self, fresh: DataFrame, latest: DataFrame) -> DataFrame:
         timed = fresh.unionByName(latest).withColumn("_at", clock.instant(F.col("timestamp")))
         usable = timed.where(F.col("vehicle_id").isNotNull() & F.col("_at").isNotNull())
-        newest = keep_last(usable, ["vehicle_id"], ["_at", "timestamp"]).drop("_at")
-        newest.write.mode("overwrite").parquet(f"{self.root}/latest/batch_id={batch_id}")
+        return keep_last(usable, ["vehicle_id"], ["_at", "timestamp"]).drop("_at")
 
 
 def build_silver(
@@ -154,14 +143,14 @@ def realtime_cycle(
     retries: int = 1, wait_seconds: float = 30.0,
 ) -> SilverBuilder:
     """Land, build silver, load.  The load runs only after the steps before it succeeded."""
-    builder = SilverBuilder(spark, f"{root}/silver_positions")
+    builder = SilverBuilder(spark, schema, f"{root}/silver")
 
     def ingest():
         land(spark, incoming, f"{root}/bronze_positions", f"{root}/checkpoints/land", ingested_at, files_per_batch)
         build_silver(spark, f"{root}/bronze_positions", builder, f"{root}/checkpoints/silver", files_per_batch)
 
     def load():
-        loads.load_positions(spark, builder.silver(), schema, f"{root}/warehouse")
+        loads.load_positions(spark, builder.silver(spark), schema, f"{root}/warehouse")
 
     for step in (ingest, load):
         for attempt in range(retries + 1):

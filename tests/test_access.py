@@ -2,7 +2,7 @@ import pytest
 from conftest import as_set
 
 from omnibus.operators.access import OPEN_ROLES, Slicer, Viewer, visible
-from omnibus.plans.report import VISUALS, report_query
+from omnibus.plans.report import SORTS, VISUALS, report_query
 
 
 @pytest.fixture
@@ -78,5 +78,14 @@ def test_measure_and_pick_list(model):
     assert as_set(report_query(model, "v17")) == {("One",), ("Two",), (None,)}
 
 
+def test_shown_order(model):
+    shown = report_query(model, "v24", in_order=True).collect()
+    assert [tuple(r) for r in shown] == [(7, 13), (8, 5)]
+    for visual_id, column in SORTS.items():
+        visual = VISUALS[visual_id]
+        made = {"{}_{}".format(*m) for m in visual.measures} | set(visual.by) | {"not_stopped_pings"}
+        assert column.lstrip("-") in made
+
+
 def test_every_visual_has_a_specification():
     assert list(VISUALS) == [f"v{i:02d}" for i in range(1, 51)]

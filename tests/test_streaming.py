@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from conftest import as_set
@@ -26,7 +27,6 @@ def write_snapshots(bronze, folder, parts):
         path = folder / f"{i:03d}.json"
         path.write_text(json.dumps({"entity": entity}))
         stamp = 1_700_000_000 + i
-        import os
         os.utime(path, (stamp, stamp))
 
 
@@ -38,8 +38,8 @@ def test_micro_batches_equal_the_batch_build(spark, tmp_path, parts):
         spark, str(tmp_path / "in"), str(tmp_path / "work"), f"cycle{parts}", files_per_batch=1, wait_seconds=0
     )
     want = as_set(silver.vehicle_positions(raw).select(*SHOWN))
-    assert as_set(builder.silver().select(*SHOWN)) == want
-    assert builder.silver().select("batch_id").distinct().count() == parts
+    assert as_set(builder.silver(spark).select(*SHOWN)) == want
+    assert builder.silver(spark).select("batch_id").distinct().count() == parts
     assert as_set(spark.table(f"cycle{parts}.{loads.POSITIONS}").select(*SHOWN)) == want
 
 
@@ -53,11 +53,11 @@ def test_cycle_resumes_and_a_replayed_batch_changes_nothing(spark, tmp_path):
         stamp = F.lit(f"2026-09-20T10:{i:02d}:00")
         builder = realtime.realtime_cycle(spark, str(tmp_path / "in"), root, "resumed", ingested_at=stamp, wait_seconds=0)
     want = as_set(silver.vehicle_positions(raw).select(*SHOWN))
-    assert as_set(builder.silver().select(*SHOWN)) == want
+    assert as_set(builder.silver(spark).select(*SHOWN)) == want
     assert as_set(spark.table(f"resumed.{loads.POSITIONS}").select(*SHOWN)) == want
     bronze = spark.read.parquet(f"{root}/bronze_positions")
     builder(bronze.where("ingested_at = '2026-09-20T10:02:00'"), 2)
-    assert as_set(builder.silver().select(*SHOWN)) == want
+    assert as_set(builder.silver(spark).select(*SHOWN)) == want
 
 
 def test_late_ping_links_to_the_ping_before_it(spark, rows, tmp_path):
@@ -65,15 +65,15 @@ def test_late_ping_links_to_the_ping_before_it(spark, rows, tmp_path):
 
     from omnibus.schemas import BRONZE_POSITIONS
 
-    builder = realtime.SilverBuilder(spark, str(tmp_path))
+    builder = realtime.SilverBuilder(spark, "late", str(tmp_path))
     first = [ping("e1", "v", "2026-09-01T10:00:00+05:30"), ping("e3", "v", "2026-09-05T10:00:00+05:30", lat=28.7)]
     late = [ping("e2", "v", "2026-09-01T11:00:00+05:30", lat=28.61), ping("e1x", "v", "2026-09-01T10:00:00+05:30")]
     builder(rows(first, BRONZE_POSITIONS), 0)
     builder(rows(late, BRONZE_POSITIONS), 1)
-    out = {r["entity_id"]: r["derived_speed_kmh"] for r in builder.silver().collect()}
+    out = {r["entity_id"]: r["derived_speed_kmh"] for r in builder.silver(spark).collect()}
     assert set(out) == {"e1", "e2", "e3"}  # the copy of e1 is dropped
     assert out["e2"] == pytest.approx(1.11195, rel=1e-3)
-    assert builder.latest(2).first()["entity_id"] == "e3"
+    assert builder.latest(spark, 2).first()["entity_id"] == "e3"
 
 
 def test_load_waits_for_the_landing(spark, tmp_path):
@@ -93,7 +93,7 @@ def test_load_waits_for_the_landing(spark, tmp_path):
             realtime.realtime_cycle(spark, "x", str(tmp_path), "never", retries=1, wait_seconds=0)
     finally:
         realtime.land = original
-    assert len(calls) == 2 and not spark.catalog.databaseExists("never")
+    assert len(calls) == 2 and not spark.catalog.tableExists(f"never.{loads.POSITIONS}")
 
 
 def test_intake_stream_equals_one_batch(spark, tmp_path):
@@ -102,10 +102,10 @@ def test_intake_stream_equals_one_batch(spark, tmp_path):
     want = as_set(obs.classify(submitted, codes), "id", "verdict")
     incoming = tmp_path / "in"
     edges = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 8, 10, 30), dt.datetime(2024, 1, 19, 3, 3), dt.datetime(2024, 3, 1)]
-    intake = intake_stream.Intake(spark, codes, str(tmp_path / "out"))
+    intake = intake_stream.Intake(spark, codes, "intake.classified", str(tmp_path / "out"))
     for lo, hi in zip(edges, edges[1:]):
         part = submitted.where((F.col("created_at") >= F.lit(lo)) & (F.col("created_at") < F.lit(hi)))
         part.coalesce(1).write.mode("append").parquet(str(incoming))
         intake_stream.run_intake(spark, str(incoming), intake, str(tmp_path / "progress"))
-    assert as_set(intake.classified(), "id", "verdict") == want
-    assert intake.classified().select("batch_id").distinct().count() == 3
+    assert as_set(intake.classified(spark), "id", "verdict") == want
+    assert intake.classified(spark).select("batch_id").distinct().count() == 3

@@ -45,7 +45,8 @@ def keep_spaced(
     )
     span = window_seconds * _US
     grain = max(span // 60, 1)
-    points = points.withColumn("_slot", F.floor(F.col("_t") / grain))
+    # Used three times below and much smaller than its input, so it is stored once.
+    points = cut(points.withColumn("_slot", F.floor(F.col("_t") / grain)))
     slots = cut(_runs(points, keys, span))
     rows = points.join(slots.drop("_lo"), [*keys, "_slot"])
 

@@ -14,6 +14,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from omnibus.operators.skew import rekeyed
+
 # (many side, column, one side, column)
 RELATIONSHIPS = (
     ("route_schedule_summary", "route_id", "dim_route", "route_id"),
@@ -92,7 +94,8 @@ def visible(
     for many, column, one, key in RELATIONSHIPS:
         if many == table and _reached(one, slicers, viewer):
             parent = visible(model, one, slicers, viewer)
-            df = df.join(parent.select(F.col(key).alias(column)), column, "left_semi")
+            keys = rekeyed(parent.select(F.col(key).alias(column)), column)
+            df = df.join(keys, column, "left_semi")
     return df
 
 

@@ -14,6 +14,7 @@ from omnibus import params
 from omnibus.functions import clock
 from omnibus.operators.asof import last_before
 from omnibus.operators.dedupe import keep_first, keep_last
+from omnibus.operators.skew import rekeyed
 from omnibus.operators.spacing import keep_spaced
 
 SPACING_KEYS = ["qr_code_id", "anonymous_identifier"]
@@ -71,7 +72,7 @@ def classify(
     screened = screen(submissions, qr_codes)
     window = F.make_dt_interval(mins=F.lit(window_minutes))
     if recent is not None:
-        late = screened.join(recent, SPACING_KEYS, "left")
+        late = screened.join(rekeyed(recent, *SPACING_KEYS), SPACING_KEYS, "left")
         held = F.col("created_at") <= F.col("last_accepted") + window
         screened = late.withColumn(
             "verdict", F.coalesce("verdict", F.when(held, "duplicate"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from omnibus import params, schemas
 from omnibus.functions import clock
 from omnibus.operators.dedupe import keep_last
+from omnibus.operators.skew import rekeyed
 from omnibus.plans import loads, silver
 from omnibus.sources import tables
 from omnibus.sources.shared import cut
@@ -116,7 +117,7 @@ class SilverBuilder:
         )
         if late.isEmpty():
             return known.limit(0)
-        return known.join(late, "vehicle_id", "left_semi")
+        return known.join(rekeyed(late, "vehicle_id"), "vehicle_id", "left_semi")
 
     def _newest(self, fresh: DataFrame, latest: DataFrame) -> DataFrame:
         timed = fresh.unionByName(latest).withColumn("_at", clock.instant(F.col("timestamp")))

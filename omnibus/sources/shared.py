@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,19 +10,17 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder the cluster names.
+    """The checkpoint folder the cluster names; where none is named, one beside the tables.
 
-    Only a local session without one gets a temporary folder of its own.
+    The warehouse is as shared as the tables in it, so no session writes to a
+    folder of one machine.
     """
     named = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(named)
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="omnibus-"))
-    return spark.sparkContext.getCheckpointDir()
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_interim"
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(named)
+    return named
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:

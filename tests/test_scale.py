@@ -73,11 +73,11 @@ def test_pings_and_their_summary_share_the_deduplication(spark, settings):
     assert "ReusedExchange" in final_plan(silver.vehicle_positions(raw))
 
 
-def test_shared_folder_must_be_named_on_a_cluster(spark):
+def test_interim_files_lie_in_the_named_folder_or_beside_the_tables(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
-    cluster = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda *a: None),
-        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn"),
+    set_to = []
+    unnamed = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, *a: "hdfs://x/warehouse/" if key == "spark.sql.warehouse.dir" else None),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, setCheckpointDir=set_to.append),
     )
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(cluster)
+    assert shared_folder(unnamed) == "hdfs://x/warehouse/_interim" == set_to[0]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from omnibus.llm import toxicity
+from omnibus.llm import ngram_join, sql, toxicity
 from omnibus.llm.common import table
 
 
@@ -16,5 +16,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).drop("row")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_toxicity": op1_toxicity}
-SQL: dict[str, str] = {}
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ngram_join.join(docs).select("doc_id", "class_id", "class_rows", "n_links")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op8_ngram_join": op8_ngram_join,
+}
+SQL: dict[str, str] = {
+    "op8_ngram_join": sql.NGRAM_JOIN,
+}

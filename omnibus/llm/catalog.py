@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from omnibus.llm import ngram_join, sql, toxicity
+from omnibus.llm import bpe, ngram_join, sql, toxicity
 from omnibus.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).drop("row")
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), bpe.WordBpe.from_file(bpe.vocabulary_path()))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ngram_join.join(docs).select("doc_id", "class_id", "class_rows", "n_links")
@@ -23,6 +27,7 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_bpe": op3_bpe,
     "op8_ngram_join": op8_ngram_join,
 }
 SQL: dict[str, str] = {

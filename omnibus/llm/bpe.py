@@ -105,18 +105,17 @@ class WordBpe:
         return regex.compile(PIECE, regex.V0)
 
     @cached_property
-    def too_new(self):
+    def too_new(self) -> frozenset[str]:
         """Letters and digits that the pattern's own library knows but Python's older character table doesn't.
 
         The tokenizers library is of the older table's age and takes them as signs.
         """
         unknown = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn")
-        found = "".join(regex.findall(r"[\p{L}\p{N}]+", unknown))
-        return regex.compile("[" + regex.escape(found) + "]") if found else regex.compile(r"(?!)")
+        return frozenset("".join(regex.findall(r"[\p{L}\p{N}]+", unknown)))
 
     @cached_property
     def strict_pieces(self):
-        new = self.too_new.pattern
+        new = "[" + regex.escape("".join(sorted(self.too_new))) + "]" if self.too_new else "(?!)"
         letter, digit = rf"(?:(?!{new})\p{{L}})", rf"(?:(?!{new})\p{{N}})"
         sign = rf"(?:{new}|[^\s\p{{L}}\p{{N}}])"
         return regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|{letter}+|{digit}|{sign}+", regex.V0)
@@ -199,7 +198,7 @@ class WordBpe:
         for piece in pieces:
             ids = cache.get(piece)
             if ids is None:
-                if watch and not piece.isascii() and self.too_new.search(piece):
+                if watch and not piece.isascii() and not self.too_new.isdisjoint(piece):
                     return False
                 ids = array("I", self.merge(self.parts(piece))).tobytes()
                 if watch and len(piece) <= CACHE_WORD_LENGTH:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from omnibus.llm import bpe, ngram_join, sql, toxicity
+from omnibus.llm import bpe, decontamination, ngram_join, sql, toxicity
 from omnibus.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).drop("row")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.WordBpe.from_file(bpe.vocabulary_path()))
 
@@ -27,9 +32,11 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_decontamination": op2_decontamination,
     "op3_bpe": op3_bpe,
     "op8_ngram_join": op8_ngram_join,
 }
 SQL: dict[str, str] = {
+    "op2_decontamination": sql.DECONTAMINATION,
     "op8_ngram_join": sql.NGRAM_JOIN,
 }

@@ -19,7 +19,10 @@ def words(text: Column) -> Column:
 
 
 def shingles(tokens: Column, size: int, make) -> Column:
-    """``make(words)`` for each run of ``size`` words; no run, no entry."""
+    """``make(words)`` for each run of ``size`` words; no run, no entry.
+
+    ``tokens`` is read once per run: give it a column, not the expression that makes it.
+    """
     starts = F.when(F.size(tokens) >= size, F.sequence(F.lit(0), F.size(tokens) - size)).otherwise(
         F.array().cast("array<int>")
     )

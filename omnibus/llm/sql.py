@@ -23,3 +23,20 @@ SELECT doc_id, min(other) AS class_id, count(*) AS class_rows,
   (SELECT count(*) FROM links WHERE x = doc_id) AS n_links
 FROM reach GROUP BY doc_id
 """
+
+_GRAMS = (
+    "CASE WHEN len(w) < 5 THEN [] "
+    "ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END"
+)
+
+DECONTAMINATION = f"""
+WITH items AS (
+  SELECT item_id, unnest(list_distinct({_GRAMS})) AS gram FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
+sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
+texts AS (
+  SELECT doc_id, unnest(list_distinct({_GRAMS})) AS gram FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
+shared AS (
+  SELECT doc_id, item_id, count(*) AS k FROM texts JOIN items USING (gram) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, CAST(n AS INTEGER) AS n_item, CAST(k AS INTEGER) AS n_shared, round(k / n, 6) AS containment
+FROM shared JOIN sizes USING (item_id) WHERE 5 * k >= 4 * n
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from omnibus.llm import bpe, decontamination, ngram_join, sql, toxicity
+from omnibus.llm import bpe, decontamination, ngram_join, sharding, sql, toxicity
 from omnibus.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.WordBpe.from_file(bpe.vocabulary_path()))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ngram_join.join(docs).select("doc_id", "class_id", "class_rows", "n_links")
@@ -34,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
     "op3_bpe": op3_bpe,
+    "op4_sharding": op4_sharding,
     "op8_ngram_join": op8_ngram_join,
 }
 SQL: dict[str, str] = {

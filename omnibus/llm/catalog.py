@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from omnibus.llm import bpe, decontamination, ngram_join, sharding, sql, toxicity
+from omnibus.llm import bpe, decontamination, ngram_join, sharding, sql, topk, toxicity
 from omnibus.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ngram_join.join(docs).select("doc_id", "class_id", "class_rows", "n_links")
@@ -39,9 +43,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_bpe": op3_bpe,
     "op4_sharding": op4_sharding,
+    "op6_topk": op6_topk,
     "op8_ngram_join": op8_ngram_join,
 }
 SQL: dict[str, str] = {
     "op2_decontamination": sql.DECONTAMINATION,
+    "op6_topk": sql.TOPK,
     "op8_ngram_join": sql.NGRAM_JOIN,
 }

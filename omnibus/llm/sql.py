@@ -40,3 +40,16 @@ shared AS (
 SELECT doc_id, item_id, CAST(n AS INTEGER) AS n_item, CAST(k AS INTEGER) AS n_shared, round(k / n, 6) AS containment
 FROM shared JOIN sizes USING (item_id) WHERE 5 * k >= 4 * n
 """
+
+TOPK = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score
+FROM scored QUALIFY rank <= 20
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from omnibus.llm import bpe, decontamination, ngram_join, sharding, sql, topk, toxicity
+from omnibus.llm import bpe, decontamination, extraction, ngram_join, sharding, sql, topk, toxicity
 from omnibus.llm.common import table
 
 
@@ -38,6 +38,11 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(docs).select("doc_id", "class_id", "class_rows", "n_links")
 
 
+def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.fit(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -45,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op6_topk": op6_topk,
     "op8_ngram_join": op8_ngram_join,
+    "op9_extraction": op9_extraction,
 }
 SQL: dict[str, str] = {
     "op2_decontamination": sql.DECONTAMINATION,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from omnibus.llm import bpe, decontamination, extraction, ngram_join, sharding, sql, topk, toxicity
+from omnibus.llm import bpe, decontamination, extraction, ngram_join, sharding, sql, topk, toxicity, warc
 from omnibus.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
@@ -48,12 +52,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_bpe": op3_bpe,
     "op4_sharding": op4_sharding,
+    "op5_warc": op5_warc,
     "op6_topk": op6_topk,
     "op8_ngram_join": op8_ngram_join,
     "op9_extraction": op9_extraction,
 }
 SQL: dict[str, str] = {
     "op2_decontamination": sql.DECONTAMINATION,
+    "op5_warc": sql.WARC,
     "op6_topk": sql.TOPK,
     "op8_ngram_join": sql.NGRAM_JOIN,
 }

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from omnibus.llm import bpe, decontamination, extraction, ngram_join, sharding, sql, topk, toxicity, warc
+from omnibus.llm import bpe, decontamination, extraction, ngram_join, sharding, sql, token_rollups, topk, toxicity, warc
 from omnibus.llm.common import table
+from omnibus.sources.shared import fresh_folder
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +48,11 @@ def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(pages, extraction.fit(pages))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup = token_rollups.Rollup(spark, fresh_folder(spark, "token-rollup"))
+    return token_rollups.load(table(spark, sf_dir, "documents"), rollup, token_rollups.Counter.installed())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -56,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_topk": op6_topk,
     "op8_ngram_join": op8_ngram_join,
     "op9_extraction": op9_extraction,
+    "op10_token_counts": op10_token_counts,
 }
 SQL: dict[str, str] = {
     "op2_decontamination": sql.DECONTAMINATION,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from omnibus.llm import bpe, decontamination, extraction, ngram_join, sharding, sql, token_rollups, topk, toxicity, warc
+from omnibus.llm import bpe, decontamination, extraction, licenses, ngram_join, sharding, sql, token_rollups, topk, toxicity, warc
 from omnibus.llm.common import table
 from omnibus.sources.shared import fresh_folder
 
@@ -38,6 +38,10 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ngram_join.join(docs).select("doc_id", "class_id", "class_rows", "n_links")
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": op4_sharding,
     "op5_warc": op5_warc,
     "op6_topk": op6_topk,
+    "op7_licenses": op7_licenses,
     "op8_ngram_join": op8_ngram_join,
     "op9_extraction": op9_extraction,
     "op10_token_counts": op10_token_counts,

@@ -21,12 +21,17 @@ def words(text: Column) -> Column:
 def shingles(tokens: Column, size: int, make) -> Column:
     """``make(words)`` for each run of ``size`` words; no run, no entry.
 
-    ``tokens`` is read once per run: give it a column, not the expression that makes it.
+    ``tokens`` is bound to a lambda's argument first: wherever the optimizer
+    moves the expression to, the words are made once per row and not per run.
     """
-    starts = F.when(F.size(tokens) >= size, F.sequence(F.lit(0), F.size(tokens) - size)).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(starts, lambda i: make([F.get(tokens, i + k) for k in range(size)]))
+
+    def runs(bound: Column) -> Column:
+        starts = F.when(F.size(bound) >= size, F.sequence(F.lit(0), F.size(bound) - size)).otherwise(
+            F.array().cast("array<int>")
+        )
+        return F.transform(starts, lambda i: make([F.get(bound, i + k) for k in range(size)]))
+
+    return F.get(F.transform(F.array(tokens), runs), F.lit(0))
 
 
 def shingle_hashes(tokens: Column, size: int = SHINGLE_WORDS) -> Column:

@@ -68,7 +68,7 @@ def item_sketches(items: DataFrame, item_id: str, text: str, size: int, containm
         k = F.when(F.size("grams") <= high, F.lit(sample_size(low + 1, containment, recall))).otherwise(k)
     return sets.select(
         "item_id",
-        F.xxhash64("grams").alias("item_key"),
+        F.xxhash64(F.coalesce(F.col("item_id").cast("string"), F.lit("")), "grams").alias("item_key"),
         F.size("grams").alias("n"),
         "grams",
         F.slice("hashes", 1, k).alias("sampled"),
@@ -110,7 +110,7 @@ def contained(
     checked = (
         texts.alias("t")
         .join(hits.alias("h"), same)
-        .join(sketches.drop("sampled").alias("i"), ["item_id", "item_key"])
+        .join(sketches.select("item_key", "n", "grams"), "item_key")
         .select(
             F.col("t.doc_id").alias("doc_id"),
             F.col("t.text_key").alias("text_key"),

@@ -8,8 +8,8 @@ texts with a hit, their words and hits go on to the alignment.  A template that
 shares WINDOW + GRAM - 1 words in a row with a text always hits.
 
 Hits give diagonals (place in text minus place in template).  Around each bundle
-of diagonals the whole template is aligned to the text in a band; matched words
-over template words is the coverage.
+of diagonals the template is aligned to the text in a band, locally; matched words
+over all template words is the coverage.
 
 Defined cases: NULL and short texts hit nothing.  A template of fewer words than
 a k-gram is refused.  Of overlapping finds of one template the best covered
@@ -104,46 +104,44 @@ def index(spark: SparkSession, templates: dict[str, str]) -> tuple[dict[str, lis
 
 
 def align(template: list[str], text: list[str], low: int, high: int) -> list[int]:
-    """Places in ``text`` of the matched words of the best alignment of the whole template.
+    """Places in ``text`` of the matched words of the best local alignment with the template.
 
-    Only cells on diagonals ``low`` to ``high`` (place in text minus place in template) are filled; text
-    before and after the alignment is free.  A match counts 1, a replaced, missing or added word -1.
+    Only cells on diagonals ``low`` to ``high`` (place in text minus place in template) are filled.  A
+    match counts 1, a replaced, missing or added word -1; both ends of either side are free, so a part
+    of the template is found, too.
     """
     width = high - low + 1
-    worst = -(len(template) + len(text) + 2)
     # Cell d of row i: i template words used, i + low + d text words used.
-    score = [0 if 0 <= low + d <= len(text) else worst for d in range(width)]
-    came = []
+    score, came = [0] * width, []
+    best = (0, 0, 0)
     for i, word in enumerate(template):
-        row, from_ = [worst] * width, [""] * width
+        row, steps = [0] * width, [""] * width
         for d in range(width):
             used = i + 1 + low + d
-            if not 0 <= used <= len(text):
+            if not 1 <= used <= len(text):
                 continue
-            options = [(score[d + 1] - 1, "skip")] if d + 1 < width else []
-            if used >= 1:
-                same = text[used - 1] == word
-                options.append((score[d] + (1 if same else -1), "match" if same else "swap"))
-                if d:
-                    options.append((row[d - 1] - 1, "add"))
-            if options:
-                row[d], from_[d] = max(options, key=lambda o: o[0])
+            same = text[used - 1] == word
+            options = [(score[d] + (1 if same else -1), "match" if same else "swap"), (0, "")]
+            if d + 1 < width:
+                options.append((score[d + 1] - 1, "skip"))
+            if d:
+                options.append((row[d - 1] - 1, "add"))
+            row[d], steps[d] = max(options, key=lambda o: o[0])
+            if row[d] > best[0]:
+                best = (row[d], i + 1, d)
         score = row
-        came.append(from_)
-    d = max(range(width), key=lambda x: score[x])
-    i, matched = len(template), []
-    while i > 0:
-        step = came[i - 1][d]
+        came.append(steps)
+    _, i, d = best
+    matched = []
+    while i > 0 and (step := came[i - 1][d]):
         if step == "match":
             matched.append(i + low + d - 1)
         if step in ("match", "swap"):
             i -= 1
         elif step == "skip":
             i, d = i - 1, d + 1
-        elif step == "add":
-            d -= 1
         else:
-            break
+            d -= 1
     return matched[::-1]
 
 

@@ -167,8 +167,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         .limit(sample_rows)
     )
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # ``known`` has sample_rows rows of two numbers at most, so the texts stay where they are.
     sample = stored(
-        texts.join(known, "doc_id").select("doc_id", "text", "y", fold(F.col("doc_id")).alias("fold")), "toxicity-sample"
+        texts.join(F.broadcast(known), "doc_id").select("doc_id", "text", "y", fold(F.col("doc_id")).alias("fold")), "toxicity-sample"
     )
     totals = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0.0)).alias("n1")).first()
     base = totals["n1"] / totals["n"] if totals["n"] else 0.0

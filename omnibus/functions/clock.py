@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column
@@ -65,8 +66,20 @@ def ingest_second(ingested_at: Column) -> Column:
     return F.left(ingested_at, F.lit(19)).try_cast("timestamp_ntz")
 
 
-def days_before(as_of: Column, days: int) -> Column:
-    return as_of - F.make_dt_interval(days=F.lit(days))
+def utc(moment: dt.datetime) -> Column:
+    """A literal instant; a moment without a zone is UTC, whatever the process or session zone."""
+    zoned = moment if moment.tzinfo else moment.replace(tzinfo=dt.timezone.utc)
+    since = zoned - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+    return F.timestamp_micros(F.lit(since // dt.timedelta(microseconds=1)))
+
+
+def wall(moment: dt.datetime) -> Column:
+    """A literal wall-clock time without a zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def days_before(as_of: dt.datetime, days: int) -> Column:
+    return utc(as_of) - F.make_dt_interval(days=F.lit(days))
 
 
 def local_display(utc: Column, zone: str = params.DISPLAY_ZONE) -> Column:

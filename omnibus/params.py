@@ -46,7 +46,6 @@ MOVING_SPEED_KMH = 2.0
 ACTIVITY_CUTOFF = dt.date(2026, 9, 17)
 TOP_ROUTES = 50
 DUPLICATE_WINDOW_MINUTES = 60
-EXPORT_ROW_CAP = 50_000
 EXPORT_DAYS = 7
 DISPLAY_ZONE = "Asia/Kolkata"
 CALENDAR_END = dt.date(2027, 12, 31)

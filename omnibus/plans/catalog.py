@@ -269,14 +269,13 @@ def t13(a):
 
 def _exported(a: Analogs) -> DataFrame:
     """Observations written by the export and read back as text."""
-    path = files.export_observations(a.observations(), fresh_folder(a.spark, "export"), AS_OF, days=0, cap=None)
+    path = files.export_observations(a.observations(), fresh_folder(a.spark, "export"), AS_OF, days=0)
     return files.read_observations(a.spark, path)
 
 
 @query("t14_typed_observations")
 def t14(a):
-    # Ids of the test data may pass the 32 bits of the default type at scale.
-    return silver.typed_observations(_exported(a), id_type="bigint").drop("ingested_at")
+    return silver.typed_observations(_exported(a)).drop("ingested_at")
 
 
 # --- Sources and sinks -------------------------------------------------------------
@@ -361,7 +360,7 @@ def s5(a):
 
 @query("s6_observation_export")
 def s6(a):
-    """The default export: last days, newest first, capped."""
+    """The default export: last days, newest first."""
     path = files.export_observations(a.observations(), fresh_folder(a.spark, "export"), AS_OF)
     return files.read_observations(a.spark, path).select("id", "route_id", "description", "created_at")
 
@@ -374,9 +373,9 @@ def _two_loads(a: Analogs) -> DataFrame:
     """A first load creates the table, the second one updates it by id."""
     schema, root = _scratch_schema(), fresh_folder(a.spark, "tables")
     raw = _exported(a)
-    loads.load_observations(a.spark, raw.where("created_at < '2024-01-20'"), schema, root, "bigint")
+    loads.load_observations(a.spark, raw.where("created_at < '2024-01-20'"), schema, root)
     later = raw.where("created_at >= '2024-01-12'").withColumn("status", F.lit("RESOLVED"))
-    loads.load_observations(a.spark, later, schema, root, "bigint")
+    loads.load_observations(a.spark, later, schema, root)
     return a.spark.table(f"{schema}.{loads.OBSERVATIONS}")
 
 
@@ -494,7 +493,7 @@ def o5(a):
 
 @query("o6_by_route")
 def o6(a):
-    return obs.by_route(a.observations(), AS_OF, days=20)
+    return obs.by_route(a.observations(), AS_OF, days=20, limit=50)
 
 
 @query("o7_by_type")
@@ -519,7 +518,7 @@ def o9(a):
 
 @query("o9_route_rollup_exact")
 def o9_exact(a):
-    return obs.route_rollup(a.observations(), AS_OF, days=20, top=12, exact=True)
+    return obs.route_rollup(a.observations(), AS_OF, days=20, top=12)
 
 
 @query("o10_type_rollup")

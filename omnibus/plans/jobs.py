@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from omnibus.operators.quality import gate
 from omnibus.plans import checks, loads, silver
 from omnibus.plans.views import Views
+from omnibus.session import prepare
 from omnibus.sources import files, tables
 
 
@@ -30,6 +31,7 @@ def reload_warehouse(
     silver_schema: str = "silver", gold_schema: str = "gold", holidays: DataFrame | None = None,
 ) -> None:
     """Build and store silver, stop if a check fails, then replace the star tables."""
+    prepare(spark)
     for name, df in build_silver(spark, gtfs, weather, fuel, holidays).items():
         tables.publish(df, f"{silver_schema}.{name}", root)
     stored = Views({name: lambda n=name: spark.table(f"{silver_schema}.{n}") for name in loads.STAR})

@@ -82,7 +82,7 @@ def materialize_gold(model: dict[str, DataFrame], schema: str, root: str) -> Non
 
 
 def load_observations(
-    spark: SparkSession, raw: DataFrame, schema: str, root: str, id_type: str = "int"
+    spark: SparkSession, raw: DataFrame, schema: str, root: str, id_type: str = "bigint"
 ) -> None:
     """First run creates the table, later runs update by id."""
     name = f"{schema}.{OBSERVATIONS}"

@@ -65,23 +65,27 @@ def classify(
 ) -> DataFrame:
     """Every submission with one verdict.
 
-    ``recent`` holds the last accepted time per key (keys, last_accepted) from
-    earlier batches.  A row inside the window after it is a duplicate; the
-    rows beyond it do not depend on it any more.
+    ``recent`` holds the accepted rows (keys, accepted_at) of earlier batches near
+    this one.  Those verdicts stand, so a row within the window on either side
+    of one is a duplicate; rows farther off don't depend on it.
     """
     screened = screen(submissions, qr_codes)
     window = F.make_dt_interval(mins=F.lit(window_minutes))
     if recent is not None:
-        late = screened.join(rekeyed(recent, *SPACING_KEYS), SPACING_KEYS, "left")
-        held = F.col("created_at") <= F.col("last_accepted") + window
-        screened = late.withColumn(
-            "verdict", F.coalesce("verdict", F.when(held, "duplicate"))
-        ).drop("last_accepted")
+        # A key has one accepted row per window at most, so few rows meet a submission.
+        near = rekeyed(recent, *SPACING_KEYS)
+        beside = [screened[k] == near[k] for k in SPACING_KEYS] + [
+            screened["created_at"].between(near["accepted_at"] - window, near["accepted_at"] + window)
+        ]
+        held = screened.join(near, beside, "left_semi").withColumn("verdict", F.coalesce("verdict", F.lit("duplicate")))
+        screened = screened.join(near, beside, "left_anti").unionByName(held)
     kept = keep_spaced(
         screened.where(F.col("verdict").isNull()), SPACING_KEYS, "created_at", "id", window_minutes * 60
     )
-    passed = kept.select("id", F.lit("accepted").alias("_passed"))
-    return screened.join(passed, "id", "left").withColumn(
+    # Ids may repeat, so a verdict goes back to its key and instant as well.
+    own = [*SPACING_KEYS, "created_at", "id"]
+    passed = kept.select(*own, F.lit("accepted").alias("_passed"))
+    return screened.join(passed, own, "left").withColumn(
         "verdict", F.coalesce("verdict", "_passed", F.lit("duplicate"))
     ).drop("_passed")
 
@@ -157,7 +161,7 @@ def recent(observations: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 
 def _since(df: DataFrame, as_of: dt.datetime, days: int) -> DataFrame:
-    return df.where(F.col("created_at") >= clock.days_before(F.lit(as_of), days))
+    return df.where(F.col("created_at") >= clock.days_before(as_of, days))
 
 
 def change_status(observations: DataFrame, changes: DataFrame) -> DataFrame:
@@ -173,9 +177,9 @@ def change_status(observations: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def by_route(
-    observations: DataFrame, as_of: dt.datetime, days: int = 30, limit: int | None = 50
+    observations: DataFrame, as_of: dt.datetime, days: int = 30, limit: int | None = None
 ) -> DataFrame:
-    """Counts by route, problem and severity, largest first; no limit with ``None``."""
+    """Counts by route, problem and severity; with ``limit`` the largest ones, in order."""
     keys = ["route_id", "problem_type", "severity"]
     counts = (
         _since(observations, as_of, days)
@@ -217,14 +221,10 @@ def top_problem_types(observations: DataFrame, limit: int = 5) -> DataFrame:
 
 
 def route_rollup(
-    observations: DataFrame, as_of: dt.datetime, days: int = 30, top: int = 10, exact: bool = False
+    observations: DataFrame, as_of: dt.datetime, days: int = 30, top: int = 10
 ) -> DataFrame:
-    """Routes by total count.
-
-    The report sums only the 50 largest combinations of ``by_route``;
-    ``exact`` sums all of them.
-    """
-    counts = by_route(observations, as_of, days, limit=None if exact else 50)
+    """The ``top`` routes by total count over all their combinations."""
+    counts = by_route(observations, as_of, days)
     return (
         counts.groupBy("route_id")
         .agg(F.sum("count").alias("count"))

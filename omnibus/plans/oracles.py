@@ -355,7 +355,7 @@ _VISUALS = {
     "v14": "SELECT DISTINCT time_slot FROM hourly",
     "v15": _TOP.format(n=20),
     "v16": "SELECT time_slot, count(DISTINCT total_departures) AS count_distinct_total_departures FROM hourly GROUP BY 1",
-    "v17": _PICK_ROUTE,
+    "v17": f"{_PICK_ROUTE} WHERE route_long_name IS NOT NULL",
     "v18": f"SELECT {_avg('peak_hour_pct')} FROM route_summary",
     "v19": f"SELECT {_total('unique_stops_served')} FROM route_summary",
     "v20": _V20.format(where=""),
@@ -570,7 +570,7 @@ _STATEMENTS = {
         FROM observations""",
     "s6_observation_export": f"""
         {_EXPORT} FROM (SELECT * FROM observations WHERE created_at >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY
-                        ORDER BY created_at DESC, id DESC LIMIT 50000)""",
+                        ORDER BY created_at DESC, id DESC)""",
     "s7_create_or_merge": """
         SELECT CASE WHEN created_at >= TIMESTAMP '2024-01-12' THEN 'RESOLVED' ELSE status END AS status, count(*) AS n
         FROM observations GROUP BY 1""",
@@ -621,7 +621,8 @@ _STATEMENTS = {
     "o8_top_problem_types": """
         SELECT problem_type, count(*) AS count FROM observations GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""",
     "o9_route_rollup": """
-        SELECT route_id, CAST(sum(n) AS BIGINT) AS count FROM by_route GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
+        SELECT route_id, CAST(sum(n) AS BIGINT) AS count FROM window_counts WHERE route_id IS NOT NULL
+        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
     "o9_route_rollup_exact": """
         SELECT route_id, CAST(sum(n) AS BIGINT) AS count FROM window_counts WHERE route_id IS NOT NULL
         GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 12""",

@@ -69,7 +69,7 @@ VISUALS: dict[str, Visual] = {
     "v14": Visual(PLANNING, HOURLY, pick="time_slot"),
     "v15": Visual(PLANNING, TOP, ("route_name",), _sums("scheduled_trips"), top=20),
     "v16": Visual(PLANNING, HOURLY, ("time_slot",), (("count_distinct", "total_departures"),)),
-    "v17": Visual(PLANNING, "dim_route", pick="route_long_name"),
+    "v17": Visual(PLANNING, "dim_route", pick="route_long_name", where="route_long_name IS NOT NULL"),
     "v18": Visual(PLANNING, SUMMARY, (), (("avg", "peak_hour_pct"),)),
     "v19": Visual(PLANNING, SUMMARY, (), _sums("unique_stops_served")),
     "v20": Visual(
@@ -142,10 +142,10 @@ def report_query(
     visual = VISUALS[visual_id]
     active = tuple(slicers) + (SAVED_SLICERS.get(visual.page, ()) if saved_state else ())
     df = visible(model, visual.table, active, viewer)
-    if visual.pick:
-        return df.select(visual.pick).distinct()
     if visual.where:
         df = df.where(visual.where)
+    if visual.pick:
+        return df.select(visual.pick).distinct()
     measures = [_measure(*m) for m in visual.measures]
     grouped = df.groupBy(*visual.by).agg(*measures) if visual.by else df.agg(*measures)
     shown = _largest(grouped, visual) if visual.top else grouped

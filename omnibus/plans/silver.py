@@ -32,13 +32,13 @@ def dim_stop(stops: DataFrame) -> DataFrame:
 
 
 def dim_trip(trips: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Trips with the day flags of their service; unknown services give NULL flags."""
-    service = calendar.select(
+    """One row per trip with the day flags of its service; unknown services give NULL flags."""
+    service = keep_first(calendar.select(
         "service_id",
         *[F.col(d).try_cast("int").alias(d) for d in params.WEEKDAYS],
         "start_date", "end_date",
-    )
-    return trips.select("trip_id", "route_id", "service_id", "shape_id").join(
+    ), ["service_id"])
+    return keep_first(trips.select("trip_id", "route_id", "service_id", "shape_id"), ["trip_id"]).join(
         service, "service_id", "left"
     ).select("trip_id", "route_id", "service_id", "shape_id", *params.WEEKDAYS, "start_date", "end_date")
 
@@ -170,10 +170,10 @@ def newer_than(rows: DataFrame, watermark: dt.datetime | None) -> DataFrame:
         return rows
     if "ingest_day" in rows.columns:
         rows = rows.where(F.col("ingest_day") >= F.lit(watermark.date()))
-    return rows.where(clock.ingest_second(F.col("ingested_at")) > F.lit(watermark).cast("timestamp_ntz"))
+    return rows.where(clock.ingest_second(F.col("ingested_at")) > clock.wall(watermark))
 
 
-def typed_observations(raw: DataFrame, ingested_at=None, id_type: str = "int") -> DataFrame:
+def typed_observations(raw: DataFrame, ingested_at=None, id_type: str = "bigint") -> DataFrame:
     """Text columns of the observation export to their types; bad values become NULL."""
     return raw.select(
         F.col("id").try_cast(id_type).alias("id"),

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # ... also where a later step on the same key then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Instants are UTC; days and wall-clock text are cut from them in this zone.
+    "spark.sql.session.timeZone": "UTC",
 }
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from omnibus import params, schemas
+from omnibus.functions import clock
 
 
 def read_gtfs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -66,25 +67,21 @@ def export_observations(
     folder: str,
     as_of: dt.datetime,
     days: int = params.EXPORT_DAYS,
-    cap: int | None = params.EXPORT_ROW_CAP,
+    cap: int | None = None,
 ) -> str:
-    """Write the last ``days`` days, newest first; 0 days means all.
+    """Write the last ``days`` days, newest first; 0 days means all, ``cap`` the newest rows only.
 
-    A capped export is one file, as its size is bounded.  Without a cap the
-    rows are range-sorted over as many files as Spark chooses.
+    The rows are range-sorted over as many files as Spark chooses.
     """
     path = f"{folder.rstrip('/')}/observations_{as_of:%Y%m%d}.csv"
-    rows = exported(observations, as_of, days, cap)
-    if cap is not None:
-        rows = rows.coalesce(1)
-    rows.write.csv(path, header=True, escape='"', emptyValue="", nullValue="")
+    exported(observations, as_of, days, cap).write.csv(path, header=True, escape='"', emptyValue="", nullValue="")
     return path
 
 
-def exported(observations: DataFrame, as_of: dt.datetime, days: int, cap: int | None) -> DataFrame:
+def exported(observations: DataFrame, as_of: dt.datetime, days: int, cap: int | None = None) -> DataFrame:
     df = observations
     if days:
-        df = df.where(F.col("created_at") >= F.lit(as_of) - F.make_dt_interval(days=F.lit(days)))
+        df = df.where(F.col("created_at") >= clock.days_before(as_of, days))
     df = df.orderBy(F.desc("created_at"), F.desc("id"))
     if cap is not None:
         df = df.limit(cap)

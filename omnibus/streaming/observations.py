@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from omnibus import params, schemas
 from omnibus.plans import observations as obs
+from omnibus.session import prepare
 from omnibus.sources import tables
 
 CLASSIFIED = (
@@ -45,24 +44,27 @@ class Intake:
         tables.write_batch(dated.select(*columns), self.name, batch_id, ("created_day",))
 
     def _recent(self, batch: DataFrame, batch_id: int) -> DataFrame | None:
-        """Last accepted time per key of earlier batches, as far back as can matter."""
-        oldest = batch.agg(F.min("created_at").alias("t")).first()["t"]
-        if batch_id == 0 or oldest is None:
+        """Accepted rows of earlier batches that lie within a window of this one's time span."""
+        window = F.make_dt_interval(mins=F.lit(self.window_minutes))
+        # Days and seconds come from Spark, so the process's own time zone plays no part.
+        span = batch.agg(
+            F.to_date(F.min("created_at") - window).alias("first_day"),
+            F.to_date(F.max("created_at") + window).alias("last_day"),
+        ).first()
+        if batch_id == 0 or span["first_day"] is None:
             return None
-        since = oldest - dt.timedelta(minutes=self.window_minutes)
         return (
             self.classified(batch.sparkSession)
-            .where((F.col("batch_id") < batch_id) & (F.col("created_day") >= F.lit(since.date())))
-            .where((F.col("verdict") == "accepted") & (F.col("created_at") >= F.lit(since)))
-            .groupBy(*obs.SPACING_KEYS)
-            .agg(F.max("created_at").alias("last_accepted"))
+            .where((F.col("batch_id") < batch_id) & F.col("created_day").between(span["first_day"], span["last_day"]))
+            .where(F.col("verdict") == "accepted")
+            .select(*obs.SPACING_KEYS, F.col("created_at").alias("accepted_at"))
         )
 
 
 def run_intake(
     spark: SparkSession, incoming: str, intake: Intake, checkpoint: str, files_per_batch: int | None = None
 ) -> None:
-    reader = spark.readStream.schema(SUBMISSION)
+    reader = prepare(spark).readStream.schema(SUBMISSION)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     query = (

@@ -17,6 +17,7 @@ from omnibus.functions import clock
 from omnibus.operators.dedupe import keep_last
 from omnibus.operators.skew import rekeyed
 from omnibus.plans import loads, silver
+from omnibus.session import prepare
 from omnibus.sources import tables
 from omnibus.sources.shared import cut
 
@@ -144,6 +145,7 @@ def realtime_cycle(
     retries: int = 1, wait_seconds: float = 30.0,
 ) -> SilverBuilder:
     """Land, build silver, load.  The load runs only after the steps before it succeeded."""
+    prepare(spark)
     builder = SilverBuilder(spark, schema, f"{root}/silver")
 
     def ingest():

@@ -80,7 +80,7 @@ def test_invalid_rows_do_not_hold_the_window(rows, codes):
 
 
 def test_rows_after_an_earlier_batch(rows, codes):
-    recent = rows([(1, "DEVICE-001", NOON)], "qr_code_id long, anonymous_identifier string, last_accepted timestamp")
+    recent = rows([(1, "DEVICE-001", NOON)], "qr_code_id long, anonymous_identifier string, accepted_at timestamp")
     data = [submit(1, when=at(-5)), submit(2, when=at(60)), submit(3, when=at(61)), submit(4, when=at(100))]
     assert verdicts(rows, codes, data, recent=recent) == {1: "duplicate", 2: "duplicate", 3: "accepted", 4: "duplicate"}
 

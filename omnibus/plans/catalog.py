@@ -19,6 +19,7 @@ from omnibus.plans.analogs import Analogs
 from omnibus.plans.report import VISUALS, report_query
 from omnibus.sources import files, tables
 from omnibus.sources.shared import fresh_folder
+from omnibus.streaming import observations as intake_stream
 from omnibus.streaming import positions as realtime
 
 CUTOFF = dt.date(2024, 1, 10)
@@ -469,6 +470,24 @@ def o2(a):
     return kept.select("id", "qr_code_id", "anonymous_identifier")
 
 
+@query("o2_stream_intake")
+def o2_stream(a):
+    """The intake stream over all submissions, landed in four files that follow each other in time."""
+    folder, schema = fresh_folder(a.spark, "intake"), _scratch_schema()
+    landed = a.submissions().select(*[c.split()[0] for c in intake_stream.SUBMISSION.split(", ")])
+    start = F.coalesce(F.unix_seconds("created_at"), F.lit(0))
+    bounds = landed.agg(F.min(start).alias("low"), F.max(start).alias("high")).first()
+    if bounds["low"] is None:
+        return obs.classify(landed, a.qr_codes()).select("id", "verdict")
+    step = (bounds["high"] - bounds["low"]) // 4 + 1
+    for part in range(4):
+        low = bounds["low"] + part * step
+        landed.where((start >= low) & (start < low + step)).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    intake = intake_stream.Intake(a.spark, a.qr_codes(), f"{schema}.submissions", f"{folder}/out")
+    intake_stream.run_intake(a.spark, f"{folder}/in", intake, f"{folder}/checkpoint", files_per_batch=1)
+    return intake.classified(a.spark).select("id", "verdict")
+
+
 @query("o3_enrich")
 def o3(a):
     accepted = obs.accept(obs.classify(a.submissions(), a.qr_codes()))

@@ -698,6 +698,7 @@ ORACLES["o1_classify"] = _with_inputs(
        FROM screened s LEFT JOIN kept k ON s.id = k.id""",
     _PENDING + _spaced("pending"),
 )
+ORACLES["o2_stream_intake"] = ORACLES["o1_classify"]
 ORACLES["o2_greedy_dedupe"] = _with_inputs(
     "SELECT id, qr_code_id, anonymous_identifier FROM kept", _KEYED + _spaced("keyed")
 )

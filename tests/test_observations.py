@@ -192,3 +192,22 @@ def test_observation_load_is_idempotent_and_keeps_old_rows(spark, table, tmp_pat
     with pytest.raises(RepeatedSourceKey):
         loads.load_observations(spark, changed.unionByName(changed), "obs_test", root)
     assert spark.table(name).count() == 6
+
+
+def test_late_rows_far_from_accepted_ones_are_accepted(rows, codes):
+    recent = rows(
+        [(1, "DEVICE-001", at(0)), (1, "DEVICE-001", at(90))],
+        "qr_code_id long, anonymous_identifier string, accepted_at timestamp",
+    )
+    data = [submit(1, when=at(-4000)), submit(2, when=at(-60)), submit(3, when=at(-61)), submit(4, when=at(151))]
+    assert verdicts(rows, codes, data, recent=recent) == {1: "accepted", 2: "duplicate", 3: "accepted", 4: "accepted"}
+
+
+def test_export_keeps_all_rows_by_default(spark, tmp_path):
+    table = spark.range(60_000).selectExpr("id", *[
+        "timestamp_micros(1704067200000000 + id) AS created_at" if c == "created_at"
+        else "timestamp_micros(0) AS observed_at" if c == "observed_at" else f"CAST(NULL AS string) AS {c}"
+        for c in params.EXPORT_COLUMNS if c != "id"
+    ])
+    path = files.export_observations(table, str(tmp_path), NOON, days=0)
+    assert files.read_observations(spark, path).count() == 60_000

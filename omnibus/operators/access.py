@@ -1,7 +1,8 @@
 """Relationships, slicers and row-level security as semi-joins.
 
 A filter on the one side of a relationship narrows the many side, through
-several hops, and never travels back up.  Nothing here is hinted: whether a
+several hops, and never travels back up.  Views that group by route are made
+from the visible routes' rows only, so the filter lies below their aggregate.  Nothing here is hinted: whether a
 narrowed dimension is broadcast is left to its measured size.
 """
 
@@ -84,6 +85,15 @@ def visible(
 ) -> DataFrame:
     """A table as one viewer sees it under the given slicers."""
     slicers = tuple(slicers)
+    by_route = getattr(model, "by_route", {})
+    if table in by_route and _reached("dim_route", slicers, viewer):
+        # dim_route is this view's only parent, so this is all that narrows it from above.
+        routes = visible(model, "dim_route", slicers, viewer)
+        df = by_route[table](rekeyed(routes.select("route_id"), "route_id"))
+        for s in slicers:
+            if s.table == table:
+                df = df.where(s.predicate())
+        return df
     df = model[table]
     if _restricted(viewer) and table in ("dim_route", "user_route_access"):
         allowed = own_routes(model["user_route_access"], viewer.email)

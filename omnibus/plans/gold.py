@@ -214,4 +214,16 @@ def build_model(tables: dict[str, DataFrame], cutoff: dt.date = params.ACTIVITY_
             tables["fact_weather_daily"], tables["fact_vehicle_positions"]
         ),
     }
-    return Views({**{name: partial(tables.__getitem__, name) for name in STAR_TABLES}, **views})
+
+    # Filters on routes go below these views' aggregates: they group by route.
+    # TopRoutes picks its routes before any filter, so it is not one of them.
+    def summary_of(keys: DataFrame) -> DataFrame:
+        trips = tables["dim_trip"].join(keys, "route_id", "left_semi")
+        return route_schedule_summary(tables["fact_schedule"], trips, tables["dim_route"])
+
+    def activity_of(keys: DataFrame) -> DataFrame:
+        pings = tables["fact_vehicle_positions"].join(keys, "route_id", "left_semi")
+        return vehicle_activity(pings, tables["dim_route"], cutoff)
+
+    by_route = {"route_schedule_summary": summary_of, "vehicle_activity": activity_of}
+    return Views({**{name: partial(tables.__getitem__, name) for name in STAR_TABLES}, **views}, by_route=by_route)

@@ -5,10 +5,11 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from omnibus.operators.access import Viewer
+from omnibus.operators.access import Viewer, visible
 from omnibus.operators.dedupe import keep_first
 from omnibus.plans import silver
 from omnibus.plans.analogs import Analogs
+from omnibus.plans.catalog import model
 from omnibus.plans.report import report_query
 from omnibus.session import prepare
 from omnibus.sources.shared import shared_folder
@@ -81,3 +82,21 @@ def test_interim_files_lie_in_the_named_folder_or_beside_the_tables(spark):
         sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, setCheckpointDir=set_to.append),
     )
     assert shared_folder(unnamed) == "hdfs://x/warehouse/_interim" == set_to[0]
+
+
+@pytest.mark.parametrize("table", ["route_schedule_summary", "vehicle_activity"])
+def test_role_filter_lies_below_the_first_aggregate(spark, table):
+    a = Analogs(spark, "/root/testdata/sf0.01")
+    viewer = Viewer("Depot Manager", "user7")
+    narrowed = visible(model(a), table, viewer=viewer)
+    plan = narrowed._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda word: [len(line) - len(line.lstrip(" :+-")) for line in plan if word in line]
+    assert min(depth("LeftSemi")) > min(depth("Aggregate"))
+    # The rows are those of a filter on top.
+    own = visible(model(a), "dim_route", viewer=viewer).select("route_id")
+    whole = model(a)[table].join(own, "route_id", "left_semi")
+    assert as_dict_rows(narrowed) == as_dict_rows(whole) != []
+
+
+def as_dict_rows(df):
+    return sorted(str(r.asDict()) for r in df.collect())

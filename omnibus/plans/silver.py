@@ -32,13 +32,17 @@ def dim_stop(stops: DataFrame) -> DataFrame:
 
 
 def dim_trip(trips: DataFrame, calendar: DataFrame) -> DataFrame:
-    """One row per trip with the day flags of its service; unknown services give NULL flags."""
+    """Trips with the day flags of their service; unknown services give NULL flags.
+
+    A service that is listed twice counts once and multiplies no trips.  A trip
+    listed twice stays twice, so that the gate can stop the load for it.
+    """
     service = keep_first(calendar.select(
         "service_id",
         *[F.col(d).try_cast("int").alias(d) for d in params.WEEKDAYS],
         "start_date", "end_date",
     ), ["service_id"])
-    return keep_first(trips.select("trip_id", "route_id", "service_id", "shape_id"), ["trip_id"]).join(
+    return trips.select("trip_id", "route_id", "service_id", "shape_id").join(
         service, "service_id", "left"
     ).select("trip_id", "route_id", "service_id", "shape_id", *params.WEEKDAYS, "start_date", "end_date")
 

@@ -140,3 +140,12 @@ def test_observation_typing(rows):
     assert (first["id"], first["latitude"], first["longitude"], first["created_at"]) == (7, 28.5, None, None)
     assert first["observed_at"] == dt.datetime(2026, 8, 30, 18, 30) and first["route_id"] == ""
     assert second["id"] is None and second["ingested_at"] is not None
+
+
+def test_repeated_service_multiplies_no_trips(rows):
+    trips = rows([("t1", "r1", "wk", "s"), ("t2", "r1", "none", "s")], "trip_id string, route_id string, service_id string, shape_id string")
+    week = ("1", "1", "1", "1", "1", "0", "0")
+    ddl = "service_id string, monday string, tuesday string, wednesday string, thursday string, friday string, saturday string, sunday string, start_date string, end_date string"
+    calendar = rows([("wk", *week, "20240101", "20241231")] * 2, ddl)
+    got = silver.dim_trip(trips, calendar).collect()
+    assert sorted((r.trip_id, r.monday) for r in got) == [("t1", 1), ("t2", None)]

@@ -33,25 +33,31 @@ GOLD_VIEWS = (
 
 
 def _served(schedule: DataFrame, trips: DataFrame, routes: DataFrame) -> DataFrame:
-    """Stop events per route, with names and copies of the route row."""
+    """Stop events per route, with names and copies of the route row.
+
+    Events shrink to one row per trip before they meet the trips, so trips are
+    counted as rows; stops are counted from distinct (trip, stop) pairs.
+    """
     flag = F.col("is_peak_hour")
+    assigned = trips.groupBy("trip_id", "route_id").agg(F.count("*").alias("_n"))
+    per_trip = schedule.groupBy("trip_id").agg(
+        F.count("*").alias("events"),
+        F.count("stop_id").alias("stop_events"),
+        F.sum(flag).alias("peak"),
+        F.sum(F.when(flag == 0, 1).otherwise(0)).alias("offpeak"),
+    )
+    totals = ("events", "stop_events", "peak", "offpeak")
     per_route = (
-        schedule.select("trip_id", "stop_id", "is_peak_hour")
-        .join(trips.select("trip_id", "route_id"), "trip_id")
+        per_trip.join(assigned, "trip_id")
         .groupBy("route_id")
-        .agg(
-            F.count_distinct("trip_id").alias("trips"),
-            F.count_distinct("stop_id").alias("stops"),
-            F.count("trip_id").alias("events"),
-            F.count("stop_id").alias("stop_events"),
-            F.sum(flag).alias("peak"),
-            F.sum(F.when(flag == 0, 1).otherwise(0)).alias("offpeak"),
-        )
+        .agg(F.count("*").alias("trips"), *[F.sum(F.col(c) * F.col("_n")).alias(c) for c in totals])
     )
+    visited = schedule.select("trip_id", "stop_id").distinct().join(assigned.select("trip_id", "route_id"), "trip_id")
+    stops = visited.select("route_id", "stop_id").distinct().groupBy("route_id").agg(F.count("stop_id").alias("stops"))
     named = routes.groupBy("route_id", "route_short_name", "route_long_name").agg(
         F.count("*").alias("copies")
     )
-    return per_route.join(named, "route_id").withColumn(
+    return per_route.join(stops, "route_id").join(named, "route_id").withColumn(
         "route_name", F.coalesce("route_short_name", "route_long_name")
     )
 

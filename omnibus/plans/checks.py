@@ -91,6 +91,12 @@ def position_rules(positions: DataFrame, lat_range=params.BOX_LAT, lon_range=par
     return q.together([*_count({PINGS: positions}, _box_rules(lat_range, lon_range)), _unique_pings(positions)])
 
 
+def ping_rules(positions: DataFrame, lat_range=params.BOX_LAT, lon_range=params.BOX_LON) -> DataFrame:
+    """Speed bound, box and key of new pings; what a realtime load is gated by."""
+    row_level = _count({PINGS: positions}, _speed_rules(), _box_rules(lat_range, lon_range))
+    return q.together([*row_level, _unique_pings(positions)])
+
+
 def domains(model: dict[str, DataFrame], observations: DataFrame) -> DataFrame:
     """Text lengths of the star tables; closed value lists of the observations."""
     tables = {**{t: model[t] for t in LENGTHS}, OBSERVATIONS: observations}

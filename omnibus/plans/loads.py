@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from omnibus import schemas
 from omnibus.functions import clock
+from omnibus.operators.dedupe import keep_last
 from omnibus.operators.upsert import upsert
 from omnibus.plans import silver
 from omnibus.plans.gold import GOLD_VIEWS
@@ -26,6 +28,7 @@ STAR = {
 POSITIONS = "fact_vehicle_positions"
 POSITION_PARTITIONS = ("ingest_day", "ping_date")
 OBSERVATIONS = "bronze_observations"
+_CORRECTED = "corrected_to"
 
 
 def star_columns(name: str, source: DataFrame) -> DataFrame:
@@ -56,6 +59,18 @@ def watermark(spark: SparkSession, name: str) -> dt.datetime | None:
     return last.agg(F.max(clock.ingest_second(F.col("ingested_at"))).alias("w")).first()["w"]
 
 
+def position_rows(source: DataFrame) -> DataFrame:
+    rows = source if "ingest_day" in source.columns else silver.with_ingest_day(source)
+    return rows.select(*schemas.names(schemas.FACT_POSITIONS), "ping_hour", *POSITION_PARTITIONS)
+
+
+def pending_positions(spark: SparkSession, source: DataFrame, schema: str) -> DataFrame:
+    """The silver pings that the next incremental load appends."""
+    name = f"{schema}.{POSITIONS}"
+    rows = position_rows(source)
+    return silver.newer_than(rows, watermark(spark, name)) if tables.exists(spark, name) else rows
+
+
 def load_positions(
     spark: SparkSession, source: DataFrame, schema: str, root: str, full_reload: bool = False
 ) -> None:
@@ -67,12 +82,53 @@ def load_positions(
     what the next load reads, and by ping date, which the gold views filter on.
     """
     name = f"{schema}.{POSITIONS}"
-    rows = source if "ingest_day" in source.columns else silver.with_ingest_day(source)
-    rows = rows.select(*schemas.names(schemas.FACT_POSITIONS), "ping_hour", *POSITION_PARTITIONS)
     if full_reload or not tables.exists(spark, name):
-        tables.publish(rows, name, root, POSITION_PARTITIONS)
+        tables.publish(position_rows(source), name, root, POSITION_PARTITIONS)
     else:
-        tables.append(silver.newer_than(rows, watermark(spark, name)), name, POSITION_PARTITIONS)
+        tables.append(pending_positions(spark, source, schema), name, POSITION_PARTITIONS)
+
+
+def in_partitions(touched: list[Row]) -> Column:
+    """Rows in one of the given partitions of a pings table, NULL dates included."""
+
+    def same(column: str, days: int | None) -> Column:
+        day = F.lit(None).cast("date") if days is None else F.date_from_unix_date(F.lit(days))
+        return F.col(column).eqNullSafe(day)
+
+    hits = [reduce(Column.__and__, [same(c, row[c]) for c in POSITION_PARTITIONS]) for row in touched]
+    return reduce(Column.__or__, hits, F.lit(False))
+
+
+def correct_speeds(spark: SparkSession, name: str, corrected: DataFrame) -> None:
+    """Write corrected speeds into a pings table; only the partitions they fall into are rewritten.
+
+    ``corrected`` has one row per ping: the keys, the partition columns, the speed.
+    """
+    days = [F.unix_date(c).alias(c) for c in POSITION_PARTITIONS]
+    touched = corrected.select(*days).distinct().collect()  # pairs of calendar days
+    if not touched:
+        return
+    keys = ["vehicle_id", "timestamp"]
+    speeds = corrected.select(*keys, F.col("derived_speed_kmh").alias("_speed"), F.lit(True).alias("_hit"))
+    rows = tables.read(spark, name).where(in_partitions(touched)).join(speeds, keys, "left")
+    speed = F.when(F.col("_hit"), F.col("_speed")).otherwise(F.col("derived_speed_kmh"))
+    tables.replace_partitions(
+        rows.withColumn("derived_speed_kmh", speed).drop("_speed", "_hit"), name, POSITION_PARTITIONS
+    )
+
+
+def correct_positions(spark: SparkSession, corrections: DataFrame, schema: str) -> None:
+    """Bring the warehouse table up to the corrections (with batch_id) logged since the last call."""
+    name = f"{schema}.{POSITIONS}"
+    done = tables.mark_of(spark, name, _CORRECTED)
+    pending = corrections.where(F.col("batch_id") > int(-1 if done is None else done))
+    last = pending.agg(F.max("batch_id").alias("b")).first()["b"]
+    if last is None:
+        return
+    newest = keep_last(pending, ["vehicle_id", "timestamp"], ["batch_id"])
+    correct_speeds(spark, tables.stored_in(spark, name), newest)
+    spark.catalog.refreshTable(name)
+    tables.set_mark(spark, name, _CORRECTED, last)
 
 
 def materialize_gold(model: dict[str, DataFrame], schema: str, root: str) -> None:

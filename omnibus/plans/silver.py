@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from omnibus import params
@@ -125,27 +125,34 @@ def one_per_instant(pings: DataFrame) -> DataFrame:
     return keep_first(pings, ["vehicle_id", "timestamp"], ["ingested_at", "entity_id"])
 
 
-def with_speed(
-    pings: DataFrame,
-    limit: float | None = params.MAX_SPEED_KMH,
-    radius_km: float = params.EARTH_RADIUS_KM,
-) -> DataFrame:
-    """Speed from the vehicle's previous ping, NULL for first pings and above the limit.
-
-    Works on de-duplicated pings.
-    """
+def with_previous(pings: DataFrame, *carried: str) -> DataFrame:
+    """Add ``_at`` and ``_prev``: place, time and the carried columns of the vehicle's ping before."""
     here = F.struct(
-        F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.unix_micros("_at").alias("us")
+        F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.unix_micros("_at").alias("us"), *carried
     )
     timed = pings.withColumn("_at", clock.instant(F.col("timestamp")))
-    linked = last_before(timed, "vehicle_id", "_at", here, "_prev", tie=["timestamp"])
+    return last_before(timed, "vehicle_id", "_at", here, "_prev", tie=["timestamp"])
+
+
+def speed_since_previous(
+    limit: float | None = params.MAX_SPEED_KMH, radius_km: float = params.EARTH_RADIUS_KM
+) -> Column:
+    """Speed from ``_prev``, NULL for first pings and above the limit."""
     km = geo.haversine_km(
         F.col("_prev.lat"), F.col("_prev.lon"), F.col("latitude"), F.col("longitude"), radius_km
     )
     speed = geo.speed_kmh(km, (F.unix_micros("_at") - F.col("_prev.us")) / 1e6)
-    if limit is not None:
-        speed = geo.clamp_speed(speed, limit)
-    return linked.withColumn("derived_speed_kmh", speed).drop("_prev", "_at")
+    return speed if limit is None else geo.clamp_speed(speed, limit)
+
+
+def with_speed(
+    pings: DataFrame,
+    limit: float | None = params.MAX_SPEED_KMH,
+    radius_km: float = params.EARTH_RADIUS_KM,
+) -> DataFrame:
+    """Speed from the vehicle's previous ping.  Works on de-duplicated pings."""
+    linked = with_previous(pings)
+    return linked.withColumn("derived_speed_kmh", speed_since_previous(limit, radius_km)).drop("_prev", "_at")
 
 
 def with_wall_clock(pings: DataFrame) -> DataFrame:

@@ -15,10 +15,12 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from omnibus.sources.shared import cut
 
 _STORED = "stored_in"
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def exists(spark: SparkSession, name: str) -> bool:
@@ -30,6 +32,16 @@ def stored_in(spark: SparkSession, name: str) -> str:
     return spark.sql(f"SHOW TBLPROPERTIES {name} ('{_STORED}')").first()["value"]
 
 
+def mark_of(spark: SparkSession, name: str, mark: str) -> str | None:
+    """A mark set on the stored version in use; a new version has none."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {stored_in(spark, name)}").where(F.col("key") == mark).first()
+    return found["value"] if found else None
+
+
+def set_mark(spark: SparkSession, name: str, mark: str, value: object) -> None:
+    spark.sql(f"ALTER TABLE {stored_in(spark, name)} SET TBLPROPERTIES ('{mark}' = '{value}')")
+
+
 def publish(df: DataFrame, name: str, root: str, partition_by: tuple[str, ...] = ()) -> None:
     """Create the table, or replace all its rows."""
     spark, root = df.sparkSession, root.rstrip("/")
@@ -48,17 +60,45 @@ def append(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None
     df.sparkSession.catalog.refreshTable(name)
 
 
-def ensure_batches(spark: SparkSession, name: str, ddl: str, partition_by: tuple[str, ...], root: str) -> None:
-    """Create an empty table whose rows come in replayable batches, if it is not there."""
+def ensure(spark: SparkSession, name: str, ddl: str, partition_by: tuple[str, ...], root: str) -> None:
+    """Create an empty partitioned table, if it is not there."""
     root = root.rstrip("/")
     _ensure_schema(spark, name, root)
-    by = ", ".join(("batch_id", *partition_by))
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet PARTITIONED BY ({by}) "
+        f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet PARTITIONED BY ({', '.join(partition_by)}) "
         f"LOCATION '{root}/{name.replace('.', '/')}'"
     )
 
 
+def ensure_batches(spark: SparkSession, name: str, ddl: str, partition_by: tuple[str, ...], root: str) -> None:
+    """Create an empty table whose rows come in replayable batches, if it is not there."""
+    ensure(spark, name, ddl, ("batch_id", *partition_by), root)
+
+
+def insert(df: DataFrame, name: str, partition_by: tuple[str, ...]) -> None:
+    """Add rows to a partitioned table."""
+    spark, df = df.sparkSession, cut(df)
+    rows = df.select(*spark.table(name).columns).hint("rebalance", *partition_by)
+    rows.write.insertInto(name)
+    spark.catalog.refreshTable(name)
+
+
+def replace_partitions(df: DataFrame, name: str, partition_by: tuple[str, ...]) -> None:
+    """Store the rows as the whole content of the partitions they fall into; others stay untouched.
+
+    The rows are cut from their inputs first, as they usually include the table.
+    """
+    spark, df = df.sparkSession, cut(df)
+    rows = df.select(*spark.table(name).columns).hint("rebalance", *partition_by)
+    before = spark.conf.get(_OVERWRITE)
+    spark.conf.set(_OVERWRITE, "dynamic")
+    try:
+        rows.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(_OVERWRITE, before)
+    spark.catalog.refreshTable(name)
+
+
 def write_batch(df: DataFrame, name: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
     """Store one batch; a replay replaces what the same batch wrote before.
 
@@ -71,8 +111,8 @@ def write_batch(df: DataFrame, name: str, batch_id: int, partition_by: tuple[str
     spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({target}) SELECT * FROM {{rows}}", rows=df)
 
 
-def read_batches(spark: SparkSession, name: str) -> DataFrame:
-    """All batches; filters on partition columns are answered by the catalog."""
+def read(spark: SparkSession, name: str) -> DataFrame:
+    """All rows; filters on partition columns are answered by the catalog."""
     spark.catalog.refreshTable(name)
     return spark.table(name)
 

@@ -35,7 +35,7 @@ class Intake:
         tables.ensure_batches(spark, name, f"{CLASSIFIED}, batch_id bigint, created_day date", ("created_day",), root)
 
     def classified(self, spark: SparkSession) -> DataFrame:
-        return tables.read_batches(spark, self.name)
+        return tables.read(spark, self.name)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         rows = obs.classify(batch, self.qr_codes, self.window_minutes, self._recent(batch, batch_id))

@@ -1,8 +1,7 @@
 """Realtime cycle: land snapshots, build silver incrementally, load the warehouse.
 
-Both streams keep their progress in checkpoints, and silver is partitioned by
-batch id, so a batch that is replayed after a failure replaces its own output
-and nothing else.
+Both streams keep their progress in checkpoints.  A batch that is replayed after
+a failure finds the pings it stored before and adds only the missing ones.
 """
 
 from __future__ import annotations
@@ -15,8 +14,9 @@ from pyspark.sql import functions as F
 from omnibus import params, schemas
 from omnibus.functions import clock
 from omnibus.operators.dedupe import keep_last
+from omnibus.operators.quality import QualityGateFailed, gate
 from omnibus.operators.skew import rekeyed
-from omnibus.plans import loads, silver
+from omnibus.plans import checks, loads, silver
 from omnibus.session import prepare
 from omnibus.sources import tables
 from omnibus.sources.shared import cut
@@ -52,14 +52,33 @@ def land(
     query.awaitTermination()
 
 
+_PING = (
+    "struct<at: timestamp, timestamp: string, entity_id: string, latitude: double, longitude: double, "
+    "ingest_day: date, ping_date: date>"
+)
+
+
+def _on_days(column: str, days: set[int | None]) -> Column:
+    """Column in a set of days counted from 1970; the catalog answers it for partitions."""
+    known = [F.date_from_unix_date(F.lit(d)) for d in sorted(d for d in days if d is not None)]
+    hit = F.col(column).isin(*known) if known else F.lit(False)
+    return hit | F.col(column).isNull() if None in days else hit
+
+
 class SilverBuilder:
     """The foreachBatch body that turns new bronze rows into silver rows.
 
-    Carried between batches: silver itself, for copies of a ping that came
-    before, and one latest ping per vehicle, for the speed of the next one.
-    Pings older than that are linked through silver of their vehicles.  A late
-    ping gets its own speed but does not change rows already written; a full
-    rebuild with ``silver.vehicle_positions`` does.
+    Silver always equals ``silver.vehicle_positions`` over all bronze rows so
+    far, however late they come.  Besides silver, the first and last ping of
+    each vehicle and day are kept.  A new ping can only change its own speed and
+    that of the ping after it.  Both have their neighbours on one of the batch's
+    own days, or they are first or last pings of other days; so silver is read
+    on the batch's days alone.
+
+    New pings are appended.  A stored ping whose predecessor is new gets its
+    speed corrected: its partition is rewritten, and the correction is logged
+    for the warehouse.  The order of the writes (corrections, day ends, new
+    pings) lets a replay repeat any part of them.
     """
 
     def __init__(
@@ -68,62 +87,94 @@ class SilverBuilder:
     ):
         self.box = (lat_range, lon_range)
         self.positions = f"{schema}.silver_vehicle_positions"
-        self.latest_pings = f"{schema}.silver_latest_pings"
+        self.day_ends = f"{schema}.silver_day_ends"
+        self.corrections = f"{schema}.silver_speed_corrections"
         stored = f"{schemas.FACT_POSITIONS}, ping_hour int, batch_id bigint, ingest_day date, ping_date date"
-        tables.ensure_batches(spark, self.positions, stored, loads.POSITION_PARTITIONS, root)
-        tables.ensure_batches(spark, self.latest_pings, f"{schemas.BRONZE_POSITIONS}, batch_id bigint", (), root)
+        ends = f"vehicle_id string, first_ping {_PING}, last_ping {_PING}, utc_day date"
+        fixes = (
+            "vehicle_id string, timestamp string, derived_speed_kmh double, ingest_day date, ping_date date, "
+            "batch_id bigint"
+        )
+        tables.ensure(spark, self.positions, stored, loads.POSITION_PARTITIONS, root)
+        tables.ensure(spark, self.day_ends, ends, ("utc_day",), root)
+        tables.ensure(spark, self.corrections, fixes, ("batch_id",), root)
 
     def silver(self, spark: SparkSession) -> DataFrame:
-        return tables.read_batches(spark, self.positions)
+        return tables.read(spark, self.positions)
 
-    def latest(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """Latest ping per vehicle as of the batch before."""
-        stored = tables.read_batches(spark, self.latest_pings)
-        return stored.where(F.col("batch_id") == batch_id - 1).drop("batch_id")
+    def latest(self, spark: SparkSession) -> DataFrame:
+        """Latest ping per vehicle."""
+        ends = tables.read(spark, self.day_ends)
+        return keep_last(ends, ["vehicle_id"], ["utc_day"]).select("vehicle_id", "last_ping.*")
 
     def __call__(self, bronze: DataFrame, batch_id: int) -> None:
         spark = bronze.sparkSession
         columns = schemas.names(schemas.BRONZE_POSITIONS)
+        pings = silver.one_per_instant(silver.inside_city(bronze.select(*columns), *self.box))
         # Cut once: the batch is used by every step below.
-        pings = cut(silver.one_per_instant(silver.inside_city(bronze.select(*columns), *self.box)))
-        dated = silver.with_wall_clock(pings)
-        span = dated.agg(F.min("ping_date").alias("lo"), F.max("ping_date").alias("hi")).first()
-
-        known = self.silver(spark).where(F.col("batch_id") < batch_id)
-        # Copies of a ping share its date, so only the batch's dates are read.
-        near = F.col("ping_date").isNull()
-        if span["lo"] is not None:
-            near = near | F.col("ping_date").between(span["lo"], span["hi"])
-        seen = known.where(near).select("vehicle_id", "timestamp")
-        match = dated["vehicle_id"].eqNullSafe(seen["vehicle_id"]) & dated["timestamp"].eqNullSafe(seen["timestamp"])
-        fresh = dated.join(seen, match, "left_anti").select(*columns)
-
-        latest = self.latest(spark, batch_id).select(*columns)
-        carried = latest.unionByName(self._history_of_late(fresh, latest, known).select(*columns))
-        marked = fresh.withColumn("_new", F.lit(True)).unionByName(
-            silver.one_per_instant(carried).withColumn("_new", F.lit(False))
+        batch = cut(_dated(silver.with_ingest_day(silver.with_wall_clock(pings))))
+        found = batch.select(F.unix_date("ping_date").alias("wall"), F.unix_date("utc_day").alias("utc"))
+        found = found.distinct().collect()  # pairs of calendar days
+        walls, days = {r["wall"] for r in found}, {r["utc"] for r in found} - {None}
+
+        # Copies of a ping share its text, so only the batch's dates are read.
+        seen = self.silver(spark).where(_on_days("ping_date", walls)).select("vehicle_id", "timestamp")
+        match = batch["vehicle_id"].eqNullSafe(seen["vehicle_id"]) & batch["timestamp"].eqNullSafe(seen["timestamp"])
+        fresh = cut(batch.join(seen, match, "left_anti"))
+
+        marked = fresh.withColumn("_role", F.lit("new"))
+        for near in self._beside(spark, fresh, days):
+            marked = marked.unionByName(near, allowMissingColumns=True)
+        linked = cut(
+            silver.with_previous(marked, "_role").withColumn("derived_speed_kmh", silver.speed_since_previous())
         )
-        rows = silver.with_ingest_day(silver.with_wall_clock(silver.with_speed(marked).where("_new").drop("_new")))
-        rows = rows.select(*schemas.names(schemas.FACT_POSITIONS), "ping_hour", *loads.POSITION_PARTITIONS)
-        tables.write_batch(rows, self.positions, batch_id, loads.POSITION_PARTITIONS)
-        tables.write_batch(self._newest(fresh, latest), self.latest_pings, batch_id)
-
-    def _history_of_late(self, fresh: DataFrame, latest: DataFrame, known: DataFrame) -> DataFrame:
-        """Silver rows of vehicles with a ping older than their latest one."""
-        at = clock.instant(F.col("timestamp"))
-        newest = latest.select("vehicle_id", at.alias("_newest"))
-        late = (
-            fresh.withColumn("_at", at).join(newest, "vehicle_id")
-            .where(F.col("_at") < F.col("_newest")).select("vehicle_id")
+        self._correct(spark, linked, batch_id)
+        self._extend_days(spark, fresh, days)
+        rows = linked.where("_role = 'new'").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        tables.insert(rows, self.positions, loads.POSITION_PARTITIONS)
+
+    def _beside(self, spark: SparkSession, fresh: DataFrame, days: set[int]) -> list[DataFrame]:
+        """Stored pings that may come right before or after a new one, with what they may become."""
+        movers = rekeyed(fresh.where(F.col("utc_day").isNotNull()).select("vehicle_id"), "vehicle_id")
+        # A wall-clock date is at most one day off the UTC day.
+        around = {d + k for d in days for k in (-1, 0, 1)}
+        stored = _dated(self.silver(spark).where(_on_days("ping_date", around))).where(_on_days("utc_day", days))
+        ends = tables.read(spark, self.day_ends).where(~_on_days("utc_day", days))
+        ends = ends.join(movers, "vehicle_id", "left_semi")
+        shown = ["vehicle_id", "timestamp", "latitude", "longitude", "ingest_day", "ping_date"]
+        first = ends.select("vehicle_id", "first_ping.*").select(*shown, F.lit("stored").alias("_role"))
+        last = ends.where("last_ping <> first_ping").select("vehicle_id", "last_ping.*")
+        return [
+            stored.join(movers, "vehicle_id", "left_semi").select(*shown, F.lit("stored").alias("_role")),
+            first,
+            # Its predecessor may be missing here, and is not new.
+            last.select(*shown, F.lit("before").alias("_role")),
+        ]
+
+    def _correct(self, spark: SparkSession, linked: DataFrame, batch_id: int) -> None:
+        moved = linked.where("_role = 'stored' AND _prev._role = 'new'")
+        if moved.isEmpty():
+            return
+        keys = ("vehicle_id", "timestamp", "derived_speed_kmh", *loads.POSITION_PARTITIONS)
+        corrected = moved.select(*keys)
+        tables.insert(corrected.withColumn("batch_id", F.lit(batch_id).cast("bigint")), self.corrections, ("batch_id",))
+        loads.correct_speeds(spark, self.positions, corrected)
+
+    def _extend_days(self, spark: SparkSession, fresh: DataFrame, days: set[int]) -> None:
+        timed = fresh.where(F.col("vehicle_id").isNotNull() & F.col("utc_day").isNotNull())
+        names = [part.split(":")[0] for part in _PING[len("struct<"):-1].split(", ")]
+        ping = F.struct(*names)
+        new = timed.select("vehicle_id", "utc_day", ping.alias("first_ping"), ping.alias("last_ping"))
+        both = tables.read(spark, self.day_ends).where(_on_days("utc_day", days)).unionByName(new)
+        ends = both.groupBy("vehicle_id", "utc_day").agg(
+            F.min("first_ping").alias("first_ping"), F.max("last_ping").alias("last_ping")
         )
-        if late.isEmpty():
-            return known.limit(0)
-        return known.join(rekeyed(late, "vehicle_id"), "vehicle_id", "left_semi")
+        tables.replace_partitions(ends, self.day_ends, ("utc_day",))
+
 
-    def _newest(self, fresh: DataFrame, latest: DataFrame) -> DataFrame:
-        timed = fresh.unionByName(latest).withColumn("_at", clock.instant(F.col("timestamp")))
-        usable = timed.where(F.col("vehicle_id").isNotNull() & F.col("_at").isNotNull())
-        return keep_last(usable, ["vehicle_id"], ["_at", "timestamp"]).drop("_at")
+def _dated(pings: DataFrame) -> DataFrame:
+    at = clock.instant(F.col("timestamp"))
+    return pings.withColumn("at", at).withColumn("utc_day", at.cast("date"))
 
 
 def build_silver(
@@ -144,7 +195,11 @@ def realtime_cycle(
     ingested_at: Column | None = None, files_per_batch: int | None = None,
     retries: int = 1, wait_seconds: float = 30.0,
 ) -> SilverBuilder:
-    """Land, build silver, load.  The load runs only after the steps before it succeeded."""
+    """Land, build silver, gate, load.
+
+    The load runs only after the steps before it succeeded, and only if the new
+    pings pass the checks.
+    """
     prepare(spark)
     builder = SilverBuilder(spark, schema, f"{root}/silver")
 
@@ -153,13 +208,18 @@ def realtime_cycle(
         build_silver(spark, f"{root}/bronze_positions", builder, f"{root}/checkpoints/silver", files_per_batch)
 
     def load():
-        loads.load_positions(spark, builder.silver(spark), schema, f"{root}/warehouse")
+        rows = builder.silver(spark)
+        gate(checks.ping_rules(loads.pending_positions(spark, rows, schema), *builder.box))
+        loads.load_positions(spark, rows, schema, f"{root}/warehouse")
+        loads.correct_positions(spark, tables.read(spark, builder.corrections), schema)
 
     for step in (ingest, load):
         for attempt in range(retries + 1):
             try:
                 step()
                 break
+            except QualityGateFailed:
+                raise
             except Exception:
                 if attempt == retries:
                     raise

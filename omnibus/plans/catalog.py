@@ -87,6 +87,23 @@ def g4(a):
     return gold.vehicle_activity(a.fact_vehicle_positions(), a.dim_route(), CUTOFF)
 
 
+def _stored_pings(a: Analogs) -> DataFrame:
+    """Silver pings as the loads store them, by ingestion day and ping date."""
+    schema, root = _scratch_schema(), fresh_folder(a.spark, "silver")
+    loads.load_positions(a.spark, silver.with_wall_clock(a.fact_vehicle_positions()), schema, root)
+    return a.spark.table(f"{schema}.{loads.POSITIONS}")
+
+
+@query("g4_from_stored_silver")
+def g4_stored(a):
+    return gold.vehicle_activity(_stored_pings(a), a.dim_route(), CUTOFF)
+
+
+@query("g6_from_stored_silver")
+def g6_stored(a):
+    return gold.weather_vs_activity(a.weather(), _stored_pings(a))
+
+
 @query("g5_weather_summary")
 def g5(a):
     return gold.weather_summary(a.weather())
@@ -452,6 +469,20 @@ def l5(a):
     return rounded(rows.select("entity_id", "vehicle_id", "timestamp", "derived_speed_kmh", "ping_hour"), 3)
 
 
+@query("l5_late_cycle")
+def l5_late(a):
+    """The same pings in four batches that mix early and late ones."""
+    schema, root, incoming = _scratch_schema(), fresh_folder(a.spark, "cycle"), fresh_folder(a.spark, "mixed")
+    entity = F.explode("entity").alias("e")
+    mixed = a.spark.read.schema(realtime.schemas.POSITION_SNAPSHOT).json(_snapshots(a)).select(entity)
+    # Copies of a ping share a file, so the copy to keep does not depend on the files' order.
+    mixed = mixed.repartition(4, "e.vehicle.vehicle_id", "e.vehicle.timestamp")
+    mixed.select(F.array("e").alias("entity")).write.json(incoming)
+    realtime.realtime_cycle(a.spark, incoming, root, schema, files_per_batch=1)
+    rows = a.spark.table(f"{schema}.{loads.POSITIONS}")
+    return rounded(rows.select("entity_id", "vehicle_id", "timestamp", "derived_speed_kmh", "ping_hour"), 3)
+
+
 # --- Observations ------------------------------------------------------------------------
 
 @query("o1_classify")

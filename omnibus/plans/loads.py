@@ -15,6 +15,7 @@ from omnibus.operators.upsert import upsert
 from omnibus.plans import silver
 from omnibus.plans.gold import GOLD_VIEWS
 from omnibus.sources import tables
+from omnibus.sources.shared import cut
 
 STAR = {
     "dim_route": schemas.DIM_ROUTE,
@@ -28,6 +29,7 @@ STAR = {
 POSITIONS = "fact_vehicle_positions"
 POSITION_PARTITIONS = ("ingest_day", "ping_date")
 OBSERVATIONS = "bronze_observations"
+OBSERVATION_DAY = "created_day"
 _CORRECTED = "corrected_to"
 
 
@@ -140,9 +142,28 @@ def materialize_gold(model: dict[str, DataFrame], schema: str, root: str) -> Non
 def load_observations(
     spark: SparkSession, raw: DataFrame, schema: str, root: str, id_type: str = "bigint"
 ) -> None:
-    """First run creates the table, later runs update by id."""
+    """First run creates the table, later runs update by id.
+
+    The table is partitioned by creation day.  An update finds the days of the
+    rows it replaces by reading ids alone, and rewrites those days and its own.
+    A run that broke off can be repeated.
+    """
     name = f"{schema}.{OBSERVATIONS}"
     rows = silver.typed_observations(raw, id_type=id_type)
-    if tables.exists(spark, name):
-        rows = upsert(spark.table(name), rows, "id")
-    tables.publish(rows, name, root)
+    rows = rows.withColumn(OBSERVATION_DAY, F.to_date("created_at"))
+    if not tables.exists(spark, name):
+        tables.publish(rows, name, root, (OBSERVATION_DAY,))
+        return
+    stored, source = tables.stored_in(spark, name), cut(rows)
+    target = tables.read(spark, stored)
+    replaced = target.join(source.select("id"), "id", "left_semi").select(OBSERVATION_DAY)
+    touched = _days_of(replaced.unionByName(source.select(OBSERVATION_DAY)))
+    merged = cut(upsert(target.where(tables.on_days(OBSERVATION_DAY, touched)), source, "id"))
+    tables.drop_days(spark, stored, OBSERVATION_DAY, touched - _days_of(merged))
+    tables.replace_partitions(merged, stored, (OBSERVATION_DAY,))
+    spark.catalog.refreshTable(name)
+
+
+def _days_of(rows: DataFrame) -> set[int | None]:
+    days = rows.select(F.unix_date(OBSERVATION_DAY).alias("d")).distinct()
+    return {r["d"] for r in days.collect()}  # calendar days

@@ -107,22 +107,26 @@ def assignment_as_of(submissions: DataFrame, history: DataFrame) -> DataFrame:
     """Route and bus of the code at submission time.
 
     ``history`` has (qr_token, valid_from, bus_number, route_id); an assignment
-    counts from its own instant on.
+    counts from its own instant on, and of two at one instant the larger counts.
+    Each (token, instant) is looked up once; the submissions are joined to the
+    answers, and that join can split a hot token.
     """
     assigned = F.struct("bus_number", "route_id")
     changes = history.select(
-        "qr_token", F.col("valid_from").alias("_at"), F.lit(0).alias("_kind"),
-        assigned.alias("_assigned"), F.lit(None).cast("bigint").alias("id"),
+        "qr_token", F.col("valid_from").alias("_at"), F.lit(0).alias("_kind"), assigned.alias("_assigned")
     )
+    changes = keep_last(changes, ["qr_token", "_at", "_kind"], ["_assigned"])
     asks = submissions.select(
         "qr_token", F.col("created_at").alias("_at"), F.lit(1).alias("_kind"),
         F.lit(None).cast(changes.schema["_assigned"].dataType).alias("_assigned"),
-        F.col("id").cast("bigint").alias("id"),
-    )
+    ).distinct()
     both = changes.unionByName(asks)
-    found = last_before(both, "qr_token", "_at", F.col("_assigned"), "_then", tie=["_kind", "id"])
-    return found.where("_kind = 1").select(
-        "id", "qr_token", F.col("_at").alias("created_at"),
+    found = last_before(both, "qr_token", "_at", F.col("_assigned"), "_then", tie=["_kind"])
+    answers = found.where("_kind = 1").select("qr_token", F.col("_at").alias("created_at"), "_then")
+    return submissions.select("id", "qr_token", "created_at").join(
+        answers, ["qr_token", "created_at"], "left"
+    ).select(
+        F.col("id").cast("bigint").alias("id"), "qr_token", "created_at",
         F.col("_then.bus_number").alias("bus_number"), F.col("_then.route_id").alias("route_id"),
     )
 

@@ -699,6 +699,9 @@ ORACLES["o1_classify"] = _with_inputs(
     _PENDING + _spaced("pending"),
 )
 ORACLES["o2_stream_intake"] = ORACLES["o1_classify"]
+ORACLES["l5_late_cycle"] = ORACLES["l5_realtime_cycle"]
+ORACLES["g4_from_stored_silver"] = ORACLES["g4_vehicle_activity"]
+ORACLES["g6_from_stored_silver"] = ORACLES["g6_weather_vs_activity"]
 ORACLES["o2_greedy_dedupe"] = _with_inputs(
     "SELECT id, qr_code_id, anonymous_identifier FROM kept", _KEYED + _spaced("keyed")
 )

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from omnibus.sources.shared import cut
@@ -32,6 +32,23 @@ def stored_in(spark: SparkSession, name: str) -> str:
     return spark.sql(f"SHOW TBLPROPERTIES {name} ('{_STORED}')").first()["value"]
 
 
+def on_days(column: str, days: set[int | None]) -> Column:
+    """Column in a set of days counted from 1970, None for NULL; the catalog answers it for partitions."""
+    known = [F.date_from_unix_date(F.lit(d)) for d in sorted(d for d in days if d is not None)]
+    hit = F.col(column).isin(*known) if known else F.lit(False)
+    return hit | F.col(column).isNull() if None in days else hit
+
+
+def drop_days(spark: SparkSession, name: str, column: str, days: set[int | None]) -> None:
+    """Take whole day partitions out of a stored table; their files stay."""
+    for day in days:
+        value = "NULL" if day is None else f"DATE_FROM_UNIX_DATE({day})"
+        text = spark.sql(f"SELECT CAST({value} AS STRING) AS d").first()["d"]
+        shown = "NULL" if text is None else f"DATE'{text}'"
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = {shown})")
+    spark.catalog.refreshTable(name)
+
+
 def mark_of(spark: SparkSession, name: str, mark: str) -> str | None:
     """A mark set on the stored version in use; a new version has none."""
     found = spark.sql(f"SHOW TBLPROPERTIES {stored_in(spark, name)}").where(F.col("key") == mark).first()

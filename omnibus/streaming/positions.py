@@ -58,13 +58,6 @@ _PING = (
 )
 
 
-def _on_days(column: str, days: set[int | None]) -> Column:
-    """Column in a set of days counted from 1970; the catalog answers it for partitions."""
-    known = [F.date_from_unix_date(F.lit(d)) for d in sorted(d for d in days if d is not None)]
-    hit = F.col(column).isin(*known) if known else F.lit(False)
-    return hit | F.col(column).isNull() if None in days else hit
-
-
 class SilverBuilder:
     """The foreachBatch body that turns new bronze rows into silver rows.
 
@@ -118,7 +111,7 @@ class SilverBuilder:
         walls, days = {r["wall"] for r in found}, {r["utc"] for r in found} - {None}
 
         # Copies of a ping share its text, so only the batch's dates are read.
-        seen = self.silver(spark).where(_on_days("ping_date", walls)).select("vehicle_id", "timestamp")
+        seen = self.silver(spark).where(tables.on_days("ping_date", walls)).select("vehicle_id", "timestamp")
         match = batch["vehicle_id"].eqNullSafe(seen["vehicle_id"]) & batch["timestamp"].eqNullSafe(seen["timestamp"])
         fresh = cut(batch.join(seen, match, "left_anti"))
 
@@ -138,8 +131,8 @@ class SilverBuilder:
         movers = rekeyed(fresh.where(F.col("utc_day").isNotNull()).select("vehicle_id"), "vehicle_id")
         # A wall-clock date is at most one day off the UTC day.
         around = {d + k for d in days for k in (-1, 0, 1)}
-        stored = _dated(self.silver(spark).where(_on_days("ping_date", around))).where(_on_days("utc_day", days))
-        ends = tables.read(spark, self.day_ends).where(~_on_days("utc_day", days))
+        stored = _dated(self.silver(spark).where(tables.on_days("ping_date", around))).where(tables.on_days("utc_day", days))
+        ends = tables.read(spark, self.day_ends).where(~tables.on_days("utc_day", days))
         ends = ends.join(movers, "vehicle_id", "left_semi")
         shown = ["vehicle_id", "timestamp", "latitude", "longitude", "ingest_day", "ping_date"]
         first = ends.select("vehicle_id", "first_ping.*").select(*shown, F.lit("stored").alias("_role"))
@@ -165,7 +158,7 @@ class SilverBuilder:
         names = [part.split(":")[0] for part in _PING[len("struct<"):-1].split(", ")]
         ping = F.struct(*names)
         new = timed.select("vehicle_id", "utc_day", ping.alias("first_ping"), ping.alias("last_ping"))
-        both = tables.read(spark, self.day_ends).where(_on_days("utc_day", days)).unionByName(new)
+        both = tables.read(spark, self.day_ends).where(tables.on_days("utc_day", days)).unionByName(new)
         ends = both.groupBy("vehicle_id", "utc_day").agg(
             F.min("first_ping").alias("first_ping"), F.max("last_ping").alias("last_ping")
         )

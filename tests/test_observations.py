@@ -211,3 +211,28 @@ def test_export_keeps_all_rows_by_default(spark, tmp_path):
     ])
     path = files.export_observations(table, str(tmp_path), NOON, days=0)
     assert files.read_observations(spark, path).count() == 60_000
+
+
+def test_update_rewrites_only_the_days_it_touches(spark, rows, tmp_path):
+    columns = (
+        "id string, route_id string, bus_number string, problem_type string, severity string, status string, "
+        "description string, latitude string, longitude string, observed_at string, created_at string"
+    )
+
+    def row(i, at, status="NEW"):
+        return (str(i), "r", "b", "OTHER", "LOW", status, "d", "1", "2", at, at)
+
+    root, name = str(tmp_path), f"obs_days.{loads.OBSERVATIONS}"
+    first = [row(i, f"2024-01-{i:02d} 10:00:00") for i in range(1, 9)] + [row(9, "soon"), row(10, "2024-01-01 11:00:00")]
+    loads.load_observations(spark, rows(first, columns), "obs_days", root)
+    before = set(spark.table(name).inputFiles())
+    # 1 changes in place, 2 moves to another day and leaves its own empty, 9 gets a readable time, 11 is new.
+    later = [row(1, "2024-01-01 10:00:00", "FIXED"), row(2, "2024-01-03 10:00:00", "FIXED"),
+             row(9, "2024-01-08 12:00:00", "FIXED"), row(11, "2024-02-01 00:00:00", "FIXED")]
+    for _ in range(2):
+        loads.load_observations(spark, rows(later, columns), "obs_days", root)
+        stored = spark.table(name)
+        found = sorted((r["id"], r["status"], str(r["created_at"])) for r in stored.collect())
+        want = {r[0]: r for r in first} | {r[0]: r for r in later}
+        assert found == sorted((int(i), r[5], r[10]) for i, r in want.items())
+        assert len(before & set(stored.inputFiles())) == 4  # 4 to 7 January

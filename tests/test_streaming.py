@@ -130,7 +130,7 @@ def test_late_ping_reads_only_days_it_needs(spark, rows, tmp_path):
     builder(rows([ping("x", "v", "2026-08-14T09:00:00+05:30", lat=28.61)], BRONZE_POSITIONS), 1)
     kept = files & set(builder.silver(spark).inputFiles())
     assert len(files) == 28 and len(kept) == 27  # only the day of the corrected ping is rewritten
-    near = builder.silver(spark).where(realtime._on_days("ping_date", {20_679}))
+    near = builder.silver(spark).where(realtime.tables.on_days("ping_date", {20_679}))
     assert "PartitionFilters: [isnotnull(ping_date" in near._jdf.queryExecution().toString()
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from omnibus.operators.skew import rekeyed
 from omnibus.sources.shared import cut, fresh_folder
 
 #: A word is a run of letters, marks and digits of the lower-cased text.
@@ -60,8 +61,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     larger neighbours to its smallest one, in the second its smaller neighbours;
     both keep the components and shorten paths, until every edge points at its
     root.  Each step is a keyed minimum and a join against it, so a node with
-    very many edges is pre-aggregated and its join can be split.  A pass counts
-    the edges it changed; the state is checkpointed.
+    very many edges is pre-aggregated and its join can be split.  The state is
+    checkpointed after each pass.
     """
     ends = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     # Every edge points from its larger node to its smaller one.
@@ -72,10 +73,10 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # Larger neighbours of u move to the smallest node around u.
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.where("v > u").join(rekeyed(low, "u"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
+        joined = large.join(rekeyed(low, "u"), "u")
         small = joined.select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")
         )

@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from omnibus.llm.common import SHINGLE_WORDS, SIMILARITY, components, stored, words
+from omnibus.operators.skew import rekeyed
 
 RECALL = 0.9999
 #: Signature length that the choice of bands may use.
@@ -239,13 +240,14 @@ def join(
     )
     banded = classes.select("set_key", F.posexplode("bands").alias("number", "band"))
     heads = banded.groupBy("number", "band").agg(F.min("set_key").alias("head"), F.count("*").alias("n"))
-    near = banded.join(heads.where("n > 1").drop("n"), ["number", "band"]).select("set_key", "head")
+    shared = rekeyed(heads.where("n > 1").drop("n"), "band")
+    near = banded.join(shared, ["number", "band"]).select("set_key", "head")
     groups = stored(components(near, "set_key", "head"), "ngram-groups")
     members = groups.union(groups.select("root", "root").distinct())
     sizes = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     wanted = (
         members.withColumnRenamed("node", "set_key")
-        .join(sizes, "root")
+        .join(rekeyed(sizes, "root"), "root")
         .join(classes.select("set_key", "copies", "row_key"), "set_key")
         .withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")))
         .select("root", "blocks", "block", "set_key", "copies", "row_key")
@@ -270,7 +272,7 @@ def join(
         .withColumn("root", F.coalesce("root", "set_key"))
     )
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_rows"))
-    described = rooted.join(ids, "root").select(
+    described = rooted.join(rekeyed(ids, "root"), "root").select(
         "set_key", "root", "class_id", "class_rows", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     alone = F.col("set_key").isNull()
@@ -299,7 +301,7 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key"))  # NULL ids last
     keepers = joined.groupBy("class_key").agg(F.min(order).alias("best"))
     best = keepers.select(F.col("best.row_key").alias("row_key")).distinct()
-    dropped = joined.select("row_key").distinct().join(best, "row_key", "left_anti")
+    dropped = rekeyed(joined.select("row_key").distinct().join(best, "row_key", "left_anti"), "row_key")
     keyed = docs.select(row_key(docs, doc_id, text).alias("_key"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     kept = keyed.join(dropped.withColumnRenamed("row_key", "_key"), "_key", "left_anti")
     repeated = joined.groupBy("row_key").count().where("count > 1").select(F.col("row_key").alias("_key"))

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from omnibus.sources.shared import cut
 
 _US = 1_000_000
-FOLD_LIMIT = 20_000
+#: Points of a run that is folded.  Each kept point copies those before it, so the limit bounds that copying.
+FOLD_LIMIT = 1_000
 
 
 def keep_spaced(

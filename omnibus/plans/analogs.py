@@ -212,6 +212,43 @@ class Analogs:
             "user_route_access": self.user_route_access,
         })
 
+    def faulty_star(self) -> Views:
+        """The star tables with missing keys, overlong texts, and pings outside the box."""
+        star = self.star()
+
+        def changed(table: str, **columns: str):
+            return lambda: star[table].withColumns({c: F.expr(e) for c, e in columns.items()})
+
+        every = "if(cast({c} AS bigint) % {n} = 0, {bad}, {c})"
+        missing = lambda c, n: every.format(c=c, n=n, bad="NULL")
+        return Views({
+            **{name: lambda n=name: star[n] for name in ("fact_weather_daily", "fact_fuel_prices")},
+            "dim_route": changed("dim_route", route_id=missing("route_id", 61)),
+            "dim_stop": changed("dim_stop", stop_id=missing("stop_id", 67)),
+            "dim_trip": changed(
+                "dim_trip", trip_id=missing("trip_id", 71),
+                start_date="if(cast(trip_id AS bigint) % 37 = 0, repeat('2', 21), start_date)",
+                end_date="if(cast(trip_id AS bigint) % 41 = 0, repeat('2', 21), end_date)",
+            ),
+            "dim_date": changed(
+                "dim_date", date_key="if(day_of_month = 13, NULL, date_key)",
+                month_name="if(month = 2, repeat('m', 21), month_name)",
+                day_name="if(day_of_month = 7, repeat('d', 21), day_name)",
+            ),
+            "fact_schedule": changed(
+                "fact_schedule", arrival_time="if(stop_sequence = 3, concat(arrival_time, ':00'), arrival_time)",
+                departure_time="if(stop_sequence = 5, concat(departure_time, ':00'), departure_time)",
+            ),
+            "fact_vehicle_positions": changed(
+                "fact_vehicle_positions", trip_id="if(status = 1, repeat('t', 101), trip_id)",
+                latitude="if(status = 2, 0D, latitude)",
+            ),
+            "user_route_access": changed(
+                "user_route_access", user_email="if(cast(route_id AS bigint) % 73 = 0, NULL, user_email)",
+                route_id=missing("route_id", 79),
+            ),
+        })
+
     # --- realtime feed -----------------------------------------------------------
 
     def raw_positions(self) -> DataFrame:

@@ -436,6 +436,15 @@ def l1(a):
     return checks.q.together(counts)
 
 
+@query("l1_access_reload")
+def l1_access(a):
+    """Grants offered twice are stored once; the role reads the stored table."""
+    schema, root = _scratch_schema(), fresh_folder(a.spark, "access")
+    loads.load_access(a.user_route_access().unionByName(a.user_route_access()), schema, root)
+    stored = {**model(a), "user_route_access": a.spark.table(f"{schema}.user_route_access")}
+    return visible(stored, "user_route_access", viewer=MANAGER)
+
+
 def _loaded_positions(a: Analogs, full_reload: bool) -> DataFrame:
     schema, root = _scratch_schema(), fresh_folder(a.spark, "positions")
     source = silver.with_wall_clock(a.fact_vehicle_positions())
@@ -604,6 +613,11 @@ def o14(a):
     return obs.display(a.observations()).select("id", "observed_local", "problem_label")
 
 
+@query("o14_pick_list")
+def o14_pick(a):
+    return obs.pick_list(a.observations(), "problem_type")
+
+
 # --- Quality ---------------------------------------------------------------------------------
 
 @query("q1_speed_bound")
@@ -618,11 +632,22 @@ def q2(a):
     return checks.q.together([checks.speed_bound(pings), checks.position_rules(pings)])
 
 
+@query("q2_gate_on_faulty_pings")
+def q2_faulty(a):
+    """The checks that gate new pings, where pings break each of them."""
+    return checks.ping_rules(a.faulty_star()["fact_vehicle_positions"])
+
+
 @query("q3_not_null")
 def q3(a):
     return checks.not_null(a.star())
 
 
+@query("q3_missing_keys")
+def q3_missing(a):
+    return checks.not_null(a.faulty_star())
+
+
 @query("q4_unique_keys")
 def q4(a):
     """On raw tables, where keys do repeat."""
@@ -648,6 +673,15 @@ def q7(a):
     return checks.domains(a.star(), a.submissions().withColumn("status", F.lit("OPEN")))
 
 
+@query("q7_overlong_texts")
+def q7_overlong(a):
+    reports = a.submissions().withColumns({
+        "severity": F.when(F.col("id") % 4 == 3, "WORST").otherwise(F.col("severity")),
+        "status": F.when(F.col("id") % 3 == 0, "OPEN").otherwise("NEW"),
+    })
+    return checks.domains(a.faulty_star(), reports)
+
+
 @query("q8_calendar_cover")
 def q8(a):
     star = a.star()

@@ -28,13 +28,19 @@ def build_silver(
 
 def reload_warehouse(
     spark: SparkSession, gtfs: str, weather: str, fuel: str, root: str,
-    silver_schema: str = "silver", gold_schema: str = "gold", holidays: DataFrame | None = None,
+    silver_schema: str = "silver", gold_schema: str = "gold", holidays: DataFrame | None = None, access: str | None = None,
 ) -> None:
-    """Build and store silver, stop if a check fails, then replace the star tables."""
+    """Build and store silver, stop if a check fails, then replace the star tables.
+
+    ``access`` is the file of route grants; without it a stored access table stays as it is.
+    """
     prepare(spark)
     for name, df in build_silver(spark, gtfs, weather, fuel, holidays).items():
         tables.publish(df, f"{silver_schema}.{name}", root)
+    grants = {"user_route_access": files.read_access(spark, access)} if access else {}
     stored = Views({name: lambda n=name: spark.table(f"{silver_schema}.{n}") for name in loads.STAR})
     dated = {name: loads.star_columns(name, stored[name]) for name in loads.STAR}
-    gate(checks.all_checks(dated, only=set(loads.STAR)))
+    gate(checks.all_checks({**dated, **grants}, only={*loads.STAR, *grants}))
     loads.load_star(stored, gold_schema, root)
+    for source in grants.values():
+        loads.load_access(source, gold_schema, root)

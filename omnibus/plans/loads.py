@@ -47,6 +47,12 @@ def load_star(sources: dict[str, DataFrame], schema: str, root: str) -> None:
         tables.publish(star_columns(name, sources[name]), f"{schema}.{name}", root)
 
 
+def load_access(source: DataFrame, schema: str, root: str) -> None:
+    """Full reload of the table that row-level security reads; a grant given twice is kept once."""
+    rows = source.select(*schemas.names(schemas.USER_ROUTE_ACCESS)).distinct()
+    tables.publish(rows, f"{schema}.user_route_access", root)
+
+
 def watermark(spark: SparkSession, name: str) -> dt.datetime | None:
     """Newest parseable ingestion second of the table.
 

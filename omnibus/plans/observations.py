@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from omnibus import params
 from omnibus.functions import clock
+from omnibus.functions.measures import code_title
 from omnibus.operators.asof import last_before
 from omnibus.operators.dedupe import keep_first, keep_last
 from omnibus.operators.skew import rekeyed
@@ -269,6 +270,12 @@ def newest_codes(registry: DataFrame) -> DataFrame:
     return registry.orderBy(F.desc("created_at"), F.desc("id"))
 
 
+def pick_list(observations: DataFrame, column: str) -> DataFrame:
+    """(code, label) of each code in use, with a title-case label."""
+    codes = observations.where(F.col(column).isNotNull()).select(F.col(column).alias("code")).distinct()
+    return codes.withColumn("label", code_title(F.col("code")))
+
+
 def display(observations: DataFrame) -> DataFrame:
     """Screen text: local time and labels without underscores."""
     return observations.withColumn("observed_local", clock.local_display(F.col("observed_at"))).withColumn(

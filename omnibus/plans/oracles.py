@@ -448,7 +448,7 @@ def _zeros(*names: str) -> str:
     return f"""SELECT unnest([{listed}]) AS "check", CAST(0 AS BIGINT) AS violations"""
 
 
-_LENGTHS = " UNION ALL ".join([
+_READ_LENGTHS = " UNION ALL ".join([
     _lengths("dim_route", "dim_route", {"route_id": 50, "route_short_name": 20, "route_long_name": 255}),
     _lengths("dim_stop", "dim_stop", {"stop_id": 50, "stop_name": 255}),
     _lengths("dim_trip", "dim_trip", {"trip_id": 100, "route_id": 50, "service_id": 50, "shape_id": 50}),
@@ -459,11 +459,39 @@ _LENGTHS = " UNION ALL ".join([
     _lengths("fact_weather_daily", "weather", {"weather_label": 50}),
     _lengths("fact_fuel_prices", "fuel", {"source_note": 100}),
     _lengths("user_route_access", "user_route_access", {"user_email": 256, "route_id": 50}),
-    # Fixed-width columns of the analogs: 8-character dates and times, weekday names, small trip numbers.
-    _zeros("length dim_trip.start_date", "length dim_trip.end_date", "length dim_date.month_name",
-           "length dim_date.day_name", "length fact_schedule.arrival_time", "length fact_schedule.departure_time",
-           "length fact_vehicle_positions.trip_id"),
 ])
+# Fixed-width columns of the analogs: 8-character dates and times, weekday names, small trip numbers.
+_FIXED_WIDTH = _zeros(
+    "length dim_trip.start_date", "length dim_trip.end_date", "length dim_date.month_name", "length dim_date.day_name",
+    "length fact_schedule.arrival_time", "length fact_schedule.departure_time", "length fact_vehicle_positions.trip_id",
+)
+_LENGTHS = f"{_READ_LENGTHS} UNION ALL {_FIXED_WIDTH}"
+
+
+def _counted(*checks: tuple[str, str, str]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS "check", count(*) AS violations FROM {table} WHERE {bad}""" for name, table, bad in checks
+    )
+
+
+# The same columns and keys where the faulty star breaks their rules.
+_OVERLONG = _counted(
+    ("length dim_trip.start_date", "orders", "o_orderkey % 37 = 0"),
+    ("length dim_trip.end_date", "orders", "o_orderkey % 41 = 0"),
+    ("length dim_date.month_name", "dim_date", "month(date) = 2"),
+    ("length dim_date.day_name", "dim_date", "day(date) = 7"),
+    ("length fact_schedule.arrival_time", "lineitem", "l_linenumber = 3 AND l_partkey % 101 <> 0"),
+    ("length fact_schedule.departure_time", "lineitem", "l_linenumber = 5 AND l_partkey % 101 <> 0"),
+    ("length fact_vehicle_positions.trip_id", "events", "event_id % 3 = 1"),
+)
+_MISSING = _counted(
+    ("null dim_route.route_id", "customer", "c_custkey % 61 = 0"),
+    ("null dim_stop.stop_id", "part", "p_partkey % 67 = 0"),
+    ("null dim_trip.trip_id", "orders", "o_orderkey % 71 = 0"),
+    ("null dim_date.date_key", "dim_date", "day(date) = 13"),
+    ("null user_route_access.user_email", "customer", "c_custkey % 73 = 0"),
+    ("null user_route_access.route_id", "customer", "c_custkey % 79 = 0"),
+)
 _CALENDAR = """
     SELECT 'calendar fact_vehicle_positions' AS "check", count(*) AS violations FROM fact_vehicle_positions
       WHERE ping_date NOT IN (SELECT date FROM {cal})
@@ -639,9 +667,17 @@ _STATEMENTS = {
     "o14_local_display": """
         SELECT id, strftime(created_at + INTERVAL 330 MINUTE, '%-d %b, %H:%M') AS observed_local,
                replace(problem_type, '_', ' ') AS problem_label FROM observations""",
+    "o14_pick_list": """
+        SELECT DISTINCT problem_type AS code,
+               array_to_string([upper(w[1:1]) || lower(w[2:]) for w in string_split(problem_type, '_')], ' ') AS label
+        FROM observations""",
     "q1_speed_bound": _SPEED,
     "q2_gate_on_silver": _zeros("speed bound", "ping outside box", "unique ping"),
+    "q2_gate_on_faulty_pings": f"""
+        {_SPEED} UNION ALL SELECT 'ping outside box', count(*) FROM events WHERE event_id % 3 = 2
+        UNION ALL {_POSITION_KEYS.format(source='fact_vehicle_positions')}""",
     "q3_not_null": _NULLS,
+    "q3_missing_keys": _MISSING,
     "q4_unique_keys": """
         SELECT 'unique dim_route.route_id' AS "check", count(*) AS violations FROM (
           SELECT route_id FROM raw_routes GROUP BY 1 HAVING count(*) > 1)
@@ -662,6 +698,12 @@ _STATEMENTS = {
         UNION ALL SELECT 'domain severity', 0
         UNION ALL SELECT 'domain status', count(*) FROM submissions
         UNION ALL SELECT 'length observations.description', count(*) FROM submissions WHERE id % 89 = 0""",
+    "q7_overlong_texts": f"""
+        {_READ_LENGTHS} UNION ALL {_OVERLONG}
+        UNION ALL SELECT 'domain problem_type', count(*) FROM submissions WHERE id % 17 = 16
+        UNION ALL SELECT 'domain severity', count(*) FROM submissions WHERE id % 4 = 3
+        UNION ALL SELECT 'domain status', count(*) FROM submissions WHERE id % 3 = 0
+        UNION ALL SELECT 'length observations.description', count(*) FROM submissions WHERE id % 89 = 0""",
     "q8_calendar_cover": _CALENDAR.format(cal="holidays"),
     "q_all": f"""
         {_SPEED} UNION ALL {_NULLS} UNION ALL {_KEYS_UNIQUE} UNION ALL {_ORPHANS}
@@ -699,6 +741,7 @@ ORACLES["o1_classify"] = _with_inputs(
     _PENDING + _spaced("pending"),
 )
 ORACLES["o2_stream_intake"] = ORACLES["o1_classify"]
+ORACLES["l1_access_reload"] = ORACLES["m4_rls_access_table"]
 ORACLES["l5_late_cycle"] = ORACLES["l5_realtime_cycle"]
 ORACLES["g4_from_stored_silver"] = ORACLES["g4_vehicle_activity"]
 ORACLES["g6_from_stored_silver"] = ORACLES["g6_weather_vs_activity"]

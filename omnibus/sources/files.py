@@ -56,6 +56,11 @@ def read_fuel(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schemas.FUEL_CSV)
 
 
+def read_access(spark: SparkSession, path: str) -> DataFrame:
+    """Which user sees which route, as exported from the directory."""
+    return spark.read.csv(path, header=True, schema=schemas.USER_ROUTE_ACCESS)
+
+
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
     """The export with every column as text; empty fields are '' and never NULL."""
     raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')

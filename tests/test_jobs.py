@@ -44,6 +44,16 @@ def test_reload_and_materialize(spark, rows, tmp_path):
     assert as_set(weather, "date", "weather_label", "total_pings") == {(dt.date(2026, 9, 17), "Drizzle/Rain", 0)}
 
 
+def test_access_file_is_gated_and_loaded(spark, tmp_path):
+    root, grants = str(tmp_path / "lake"), tmp_path / "access.csv"
+    grants.write_text("user_email,route_id\ndm@x,r1\ndm@x,r1\n")
+    jobs.reload_warehouse(spark, *landed(tmp_path), root, "acc_silver", "acc_gold", access=str(grants))
+    assert [tuple(r) for r in spark.table("acc_gold.user_route_access").collect()] == [("dm@x", "r1")]
+    grants.write_text("user_email,route_id\n,r1\n")
+    with pytest.raises(QualityGateFailed, match="null user_route_access.user_email: 1"):
+        jobs.reload_warehouse(spark, *landed(tmp_path), root, "acc_silver", "acc_gold", access=str(grants))
+
+
 def test_failed_check_stops_before_the_star(spark, tmp_path):
     root = str(tmp_path / "lake")
     doubled = TEXTS["trips"] + "t1,r1,wk,s\n"

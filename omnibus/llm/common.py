@@ -84,7 +84,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         # Done once no node points at two roots and no root points further.
         heads = after.groupBy("u").count()
         twice = heads.where("count > 1").limit(1)
-        onward = after.select(F.col("v").alias("u")).join(heads.select("u"), "u", "left_semi").limit(1)
+        onward = after.select(F.col("v").alias("u")).distinct().join(heads.select("u"), "u", "left_semi").limit(1)
         state = after
         if twice.union(onward.withColumn("count", F.lit(0).cast("long"))).isEmpty():
             return state.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -50,10 +50,13 @@ SECOND_PERSON = (
 # Characters that stand in for letters.
 LEET_FROM, LEET_TO = "013457@$!|+", "oieastasiit"
 
-#: A letter, then symbols or digits between letters.
-_MASKED = r"\p{L}+(?:[\d@$!*._|+\-]+\p{L}+)+|[\d@$!]+\p{L}+(?:[\d@$!*._|+\-]*\p{L}+)*"
+#: A letter, then symbols or digits between letters.  All repeats are possessive, as Java takes one stack frame for
+#: each round of any other repeated group, and no branch starts inside a run that it has failed on from its start.
+_MASKED = (
+    r"(?<!\p{L})\p{L}++(?:[\d@$!*._|+\-]++\p{L}++)++|(?<![\d@$!])[\d@$!]++\p{L}++(?:[\d@$!*._|+\-]*+\p{L}++)*+"
+)
 #: Single letters with a gap after each, four at least.
-_SPACED = r"(?<!\p{L})\p{L}(?:[ .*_\-]\p{L}){3,}(?!\p{L})"
+_SPACED = r"(?<!\p{L})\p{L}(?:[ .*_\-]\p{L}(?!\p{L})){3,}+"
 
 FEATURES = (
     "length", "fixed_rate", "strong_rate", "weak_rate", "fixed_any", "strong_any", "weak_any", "masked_hit_rate",

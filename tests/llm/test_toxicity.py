@@ -2,6 +2,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from omnibus.llm import toxicity
 
@@ -76,3 +77,24 @@ def test_masked_words_count(docs):
     assert row[1].masked_hit_rate == row[1].masked_rate == row[1].near_rate == 0
     near = toxicity.features(docs([(1, "you big idiot"), (2, "idiot " + "x " * 20 + "you")]), "text").orderBy("doc_id").collect()
     assert near[0].near_rate > 0 and near[1].near_rate == 0
+
+
+def test_long_unbroken_texts(docs):
+    rng = random.Random(3)
+    run = "".join(rng.choices("0123456789abcdef", k=200_000))
+    pairs = [(1, run), (2, "a-" * 200_000 + "a"), (3, "A.b" * 100_000), (4, "a \U0001d44e " * 50_000), (5, "x" * 200_000), (6, "7" * 200_000)]
+    rows = toxicity.features(docs(pairs), "text").orderBy("doc_id").collect()
+    assert len(rows) == len(pairs)
+    assert [r.masked_rate > 0 for r in rows] == [True, True, True, True, False, False]
+
+
+def test_masked_patterns_equal_plain_repeats(docs):
+    """The possessive patterns find what the plain greedy ones find."""
+    masked = r"\p{L}+(?:[\d@$!*._|+\-]+\p{L}+)+|[\d@$!]+\p{L}+(?:[\d@$!*._|+\-]*\p{L}+)*"
+    spaced = r"(?<!\p{L})\p{L}(?:[ .*_\-]\p{L}){3,}(?!\p{L})"
+    rng = random.Random(4)
+    table = docs([(i, "".join(rng.choices("abé1@!.- ", weights=[4, 3, 1, 2, 1, 1, 3, 2, 6], k=rng.randint(0, 60)))) for i in range(4000)])
+    for plain, ours in ((masked, toxicity._MASKED), (spaced, toxicity._SPACED)):
+        get = lambda p: F.regexp_extract_all("text", F.lit(p), F.lit(0))
+        got = table.select((get(plain) == get(ours)).alias("same"), F.size(get(ours)).alias("n")).collect()
+        assert all(r.same for r in got) and sum(r.n for r in got) > 20

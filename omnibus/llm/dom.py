@@ -7,11 +7,17 @@ from html.parser import HTMLParser
 
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span "
-    "strike strong sub sup time tt u var wbr nobr".split()
+    "strike strong sub sup time tt u var wbr nobr math semantics mrow mi mn mo ms mtext mspace msup msub msubsup mfrac "
+    "msqrt mroot mover munder munderover mmultiscripts mprescripts mstyle mpadded mphantom menclose mfenced merror maction "
+    "mtable mtr mtd mlabeledtr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Sources of a formula beside the formula itself; they don't break a line.
+NOTES = frozenset("annotation annotation-xml".split())
 #: Never text of a page.
-HIDDEN = frozenset("script style template noscript svg math iframe object canvas head title audio video".split())
+HIDDEN = frozenset("script style template noscript svg iframe object canvas head title audio video".split()) | NOTES
+#: All else, and text, ends an open head.
+HEAD = frozenset("html head title meta link base basefont bgsound style script noscript noframes template".split())
 #: An opening tag of the set ends an open element of the key.
 ENDS = {
     "li": frozenset(["li"]),
@@ -70,7 +76,8 @@ class Page(HTMLParser):
 
     def _pop(self, depth: int) -> None:
         """Close all elements from ``depth`` on."""
-        self._flush()
+        if self._stack[depth][0] not in NOTES:
+            self._flush()
         for tag, _ in self._stack[depth:]:
             self._links -= tag == "a"
             self._hidden -= tag in HIDDEN
@@ -84,7 +91,13 @@ class Page(HTMLParser):
                 return None
         return None
 
+    def _end_head(self) -> None:
+        if self._stack and self._stack[-1][0] == "head":
+            self._pop(len(self._stack) - 1)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag not in HEAD:
+            self._end_head()
         if tag in VOID:
             if tag == "hr":
                 self._flush()
@@ -138,6 +151,8 @@ class Page(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip(" \t\n\r\f"):
+            self._end_head()
         if not self._hidden:
             self._text.append(data)
             if self._links:

@@ -80,3 +80,29 @@ def test_learns_from_pages_that_mark_their_text(spark):
         f"{i}\nText number {i}, and a bit more." for i in range(30)
     }
     assert extraction.extract(df.limit(0), extraction.fit(df.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize(
+    "start",
+    ["<html><head><title>T</title><article>", "<head><meta charset=utf-8><style>p{}</style><script>x()</script><link rel=a><article>",
+     "<html><head><title>T</title></head><article>", "<head><noscript><img src=a></noscript><title>T</title>\n<body><article>",
+     "<html><head><title>T</title><article>", "<title>T</title><article>"],
+)
+def test_implied_ends_of_head(model, start):
+    html = start + "<h1>Heading here</h1><p>A paragraph of the page, long enough to be its text.<p>And one more of them.</article>"
+    expected = "Heading here\nA paragraph of the page, long enough to be its text.\nAnd one more of them."
+    assert extraction.main_text(html, model) == expected
+
+
+def test_text_inline_and_void_tags_end_a_head():
+    for body in ("Text of the page.", "<b>Text</b> of the page.", "<img src=a>Text of the page.", "<br>Text of the page."):
+        page = Page("<html><head><title>T</title>\n" + body)
+        assert [t for _, t in page.runs] == ["Text of the page."]
+
+
+def test_formulas_are_text():
+    page = Page(
+        "<article><p>We know that <math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></mrow>"
+        "<annotation encoding=tex>E = mc^2</annotation></semantics></math> holds.</p></article>"
+    )
+    assert [t for _, t in page.runs] == ["We know that E=mc2 holds."]

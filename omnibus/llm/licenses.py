@@ -1,24 +1,30 @@
 """License scan: winnowed template fingerprints pick candidates, banded alignment reports coverage and spans.
 
 The templates' word k-grams are hashed, and the smallest hash of every window of
-``WINDOW`` k-grams is kept with its place: an inverted index from hash to
-(template, place).  Its size is bounded by the templates, ``MAX_FINGERPRINTS``
-at most, so it goes with the plan.  Every k-gram of every text is looked up;
-texts with a hit, their words and hits go on to the alignment.  A template that
-shares WINDOW + GRAM - 1 words in a row with a text always hits.
+k-grams is kept with its place: an inverted index from hash to (template,
+place).  It goes with the plan, at most ``MAX_FINGERPRINTS`` at a time; more
+templates are scanned in parts.  Every k-gram of every text is looked up; texts with
+a hit, their words and hits go on to the alignment.
+
+k and the window are each template's own (``plan``).  Of a template of n words,
+m = floor((1 - coverage) n) may be missing or replaced, which leaves a run of at
+least (n - m) / (m + 1) words in a row; for templates of up to ``SHORT`` words, m
+added words are allowed for as well: (n - m) / (2 m + 1).  k + window - 1 is at
+most that run, so a text with so many changes always shares a fingerprint.
 
 Hits give diagonals (place in text minus place in template).  Around each bundle
 of diagonals the template is aligned to the text in a band, locally; matched words
 over all template words is the coverage.
 
-Defined cases: NULL and short texts hit nothing.  A template of fewer words than
-a k-gram is refused.  Of overlapping finds of one template the best covered
+Defined cases: NULL and short texts hit nothing.  A template of fewer than
+``GRAM`` words is refused.  Of overlapping finds of one template the best covered
 stays, then the first.  Equal rows are reported each.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import math
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +32,13 @@ from pyspark.sql import functions as F
 
 from omnibus.llm.common import shingle_hashes, words
 
+#: Words of the longest k-gram, and the widest window.
 GRAM = 4
 WINDOW = 4
 COVERAGE = 0.8
 MAX_FINGERPRINTS = 100_000
+#: Templates of at most so many words have k-grams of three words at most.
+SHORT = 20
 
 # License notices and texts.
 TEMPLATES = {
@@ -86,20 +95,32 @@ def winnow(hashes: list[int], window: int = WINDOW) -> list[int]:
     return places
 
 
-def index(spark: SparkSession, templates: dict[str, str]) -> tuple[dict[str, list[str]], dict[int, list[tuple[str, int]]]]:
-    """Words of each template, and hash -> [(template, place)]. Hashed by Spark, as the texts are."""
+def plan(n: int, coverage: float) -> tuple[int, int]:
+    """(k, window) for a template of ``n`` words."""
+    m = math.floor((1 - coverage) * n + 1e-9)
+    run = max(1, math.ceil((n - m) / (2 * m + 1 if n <= SHORT else m + 1)))
+    k = min(run, 3 if n <= SHORT else GRAM)
+    return k, min(run - k + 1, WINDOW)
+
+
+def index(
+    spark: SparkSession, templates: dict[str, str], coverage: float = COVERAGE
+) -> tuple[dict[str, list[str]], dict[tuple[int, int], list[tuple[str, int]]]]:
+    """Words of each template, and (k, hash) -> [(template, place)]. Hashed by Spark, as the texts are."""
     split = spark.createDataFrame(list(templates.items()), "name string, text string").select(
         "name", words(F.col("text")).alias("words")
     )
-    rows = split.select("name", "words", shingle_hashes(F.col("words"), GRAM).alias("hashes")).collect()
+    rows = split.select(
+        "name", "words", *[shingle_hashes(F.col("words"), k).alias(f"hashes{k}") for k in range(1, GRAM + 1)]
+    ).collect()
     places = defaultdict(list)
     for row in rows:
-        if not row["hashes"]:
+        if len(row["words"]) < GRAM:
             raise ValueError(f"template {row['name']} has fewer than {GRAM} words")
-        for at in winnow(row["hashes"]):
-            places[row["hashes"][at]].append((row["name"], at))
-    if len(places) > MAX_FINGERPRINTS:
-        raise ValueError(f"more than {MAX_FINGERPRINTS} fingerprints; scan with the templates in parts")
+        k, window = plan(len(row["words"]), coverage)
+        hashes = row[f"hashes{k}"]
+        for at in winnow(hashes, window):
+            places[k, hashes[at]].append((row["name"], at))
     return {row["name"]: row["words"] for row in rows}, dict(places)
 
 
@@ -145,22 +166,25 @@ def align(template: list[str], text: list[str], low: int, high: int) -> list[int
     return matched[::-1]
 
 
-def finds(text: list[str], hits: list[tuple[int, int]], templates, places, coverage: float) -> list[tuple]:
+def finds(text: list[str], hits: list[tuple[int, int, int]], templates, places, coverage: float) -> list[tuple]:
     """(template, matched words, coverage, spans) of each template found in the words of a text."""
     diagonals = defaultdict(set)
-    for at, value in hits:
-        for name, place in places[value]:
+    for at, k, value in hits:
+        for name, place in places[k, value]:
             diagonals[name].add(at - place)
     out = []
     for name in sorted(diagonals):
         template = templates[name]
-        band = max(2, len(template) // 10)
+        band, least = max(2, len(template) // 10), coverage * len(template) - 1e-9
         found, start, last = [], None, None
         for diagonal in [*sorted(diagonals[name]), None]:
             if start is not None and (diagonal is None or diagonal - start > band):
-                matched = align(template, text, start - band, last + band)
-                if len(matched) >= coverage * len(template) - 1e-9:
-                    found.append(matched)
+                # No more words can match than both sides have in common.
+                near = Counter(text[max(0, start - band) : last + band + len(template)])
+                if (Counter(template) & near).total() >= least:
+                    matched = align(template, text, start - band, last + band)
+                    if len(matched) >= least:
+                        found.append(matched)
                 start = None
             if start is None:
                 start = diagonal
@@ -187,13 +211,20 @@ def scan(
 
     Spans are word places from 0, ends exclusive.
     """
-    wanted, places = index(docs.sparkSession, templates)
-    known = list(places)
-    hit = lambda h, i: F.when(h.isin(known), F.struct(i.alias("at"), h.alias("hash")))
+    wanted, places = index(docs.sparkSession, templates, coverage)
+    if len(places) > MAX_FINGERPRINTS and len(templates) > 1:
+        items, half = list(templates.items()), len(templates) // 2
+        parts = [scan(docs, dict(part), coverage, doc_id, text) for part in (items[:half], items[half:])]
+        return parts[0].union(parts[1])
+
+    def hits(k: int):
+        known = [h for size, h in places if size == k]
+        hit = lambda h, i: F.when(h.isin(known), F.struct(i.alias("at"), F.lit(k).alias("k"), h.alias("hash")))
+        return F.filter(F.transform(shingle_hashes(F.col("words"), k), hit), lambda h: h.isNotNull())
+
     looked_up = (
         docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("words"))
-        .select("doc_id", "words", shingle_hashes(F.col("words"), GRAM).alias("hashes"))
-        .select("doc_id", "words", F.filter(F.transform("hashes", hit), lambda h: h.isNotNull()).alias("hits"))
+        .select("doc_id", "words", F.concat(*[hits(k) for k in sorted({k for k, _ in places})]).alias("hits"))
         .where(F.size("hits") > 0)
     )
 
@@ -201,7 +232,7 @@ def scan(
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
-                hits = [(h["at"], h["hash"]) for h in row["hits"]]
+                hits = [(h["at"], h["k"], h["hash"]) for h in row["hits"]]
                 for name, matched, share, spans in finds(row["words"], hits, wanted, places, coverage):
                     low, high = spans[0][0], spans[-1][1]
                     rows.append((row["doc_id"], name, matched, share, low, high, spans, " ".join(row["words"][low:high])))

@@ -73,3 +73,35 @@ def test_edge_rows(edge_docs, docs):
     assert [g[0] for g in found(docs([(1, notice), (1, notice), (None, notice), (2, None)]))] == [1, 1, None]
     with pytest.raises(ValueError, match="fewer"):
         licenses.scan(docs([]), {"x": "two words"})
+
+
+def test_one_word_edits_of_short_templates(docs):
+    """The scan finds each edited notice that the alignment with all texts accepts."""
+    short = {n: licenses_words(t) for n, t in licenses.TEMPLATES.items() if len(licenses_words(t)) <= licenses.SHORT}
+    texts = ["licensed under the apache licence version 2 0", "licensed under apache license version 2 0", "released under the mit licence"]
+    for words in short.values():
+        for i in range(len(words)):
+            texts += [" ".join(words[:i] + new + words[i + 1 :]) for new in ([], ["x"], [words[i], "x"], ["x", words[i]])]
+    expected = set()
+    for d, text in enumerate(texts):
+        for name, words in short.items():
+            matched = licenses.align(words, text.split(), -len(words), len(text.split()))
+            if len(matched) >= licenses.COVERAGE * len(words) - 1e-9:
+                expected.add((d, name))
+    assert {0, 1, 2} <= {d for d, _ in expected} and len(expected) > 100
+    templates = {n: licenses.TEMPLATES[n] for n in short}
+    assert {g[:2] for g in found(docs(list(enumerate(["pre fix " + t + " and so on" for t in texts]))), templates=templates)} >= expected
+
+
+def test_more_fingerprints_than_fit_are_scanned_in_parts(docs, monkeypatch):
+    pairs = list(enumerate(licenses.TEMPLATES.values()))
+    whole = found(docs(pairs))
+    monkeypatch.setattr(licenses, "MAX_FINGERPRINTS", 50)
+    assert found(docs(pairs)) == whole
+
+
+def test_every_plan_fits_the_guaranteed_run():
+    for n in range(4, 400):
+        k, window = licenses.plan(n, 0.8)
+        missing = int(0.2 * n + 1e-9)
+        assert 1 <= k <= n and (missing + 1) * (k + window - 2) < n - missing

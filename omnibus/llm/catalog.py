@@ -39,7 +39,7 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.library())
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

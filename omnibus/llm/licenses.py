@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -84,6 +85,12 @@ TEMPLATES = {
 }
 
 
+def library() -> dict[str, str]:
+    """``TEMPLATES`` and the full texts, headers and notices of ``license_texts``, by name."""
+    files = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    return TEMPLATES | {f.stem: f.read_text(encoding="utf-8") for f in files}
+
+
 def winnow(hashes: list[int], window: int = WINDOW) -> list[int]:
     """Places of the fingerprints: the last smallest hash of each window, of the whole list if that is shorter."""
     places: list[int] = []
@@ -209,7 +216,7 @@ def scan(
 ) -> DataFrame:
     """(doc_id, license, matched_words, coverage, first_word, last_word, spans, matched_text), one row per find.
 
-    Spans are word places from 0, ends exclusive.
+    ``templates`` is a table of license texts by name.  Spans are word places from 0, ends exclusive.
     """
     wanted, places = index(docs.sparkSession, templates, coverage)
     if len(places) > MAX_FINGERPRINTS and len(templates) > 1:
@@ -217,14 +224,18 @@ def scan(
         parts = [scan(docs, dict(part), coverage, doc_id, text) for part in (items[:half], items[half:])]
         return parts[0].union(parts[1])
 
+    sizes = sorted({k for k, _ in places})
+
     def hits(k: int):
-        known = [h for size, h in places if size == k]
-        hit = lambda h, i: F.when(h.isin(known), F.struct(i.alias("at"), F.lit(k).alias("k"), h.alias("hash")))
-        return F.filter(F.transform(shingle_hashes(F.col("words"), k), hit), lambda h: h.isNotNull())
+        # Parsed as one text, as a call for each literal takes far longer.
+        known = ", ".join(f"{h}L" for size, h in places if size == k)
+        hit = f"CASE WHEN h IN ({known}) THEN named_struct('at', i, 'k', {k}, 'hash', h) END"
+        return F.expr(f"filter(transform(hashes{k}, (h, i) -> {hit}), h -> h IS NOT NULL)")
 
     looked_up = (
         docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("words"))
-        .select("doc_id", "words", F.concat(*[hits(k) for k in sorted({k for k, _ in places})]).alias("hits"))
+        .select("doc_id", "words", *[shingle_hashes(F.col("words"), k).alias(f"hashes{k}") for k in sizes])
+        .select("doc_id", "words", F.concat(*map(hits, sizes)).alias("hits"))
         .where(F.size("hits") > 0)
     )
 

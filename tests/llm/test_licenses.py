@@ -105,3 +105,11 @@ def test_every_plan_fits_the_guaranteed_run():
         k, window = licenses.plan(n, 0.8)
         missing = int(0.2 * n + 1e-9)
         assert 1 <= k <= n and (missing + 1) * (k + window - 2) < n - missing
+
+
+def test_library_finds_each_of_its_texts(docs):
+    library = licenses.library()
+    assert {"BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "LGPL-2.1", "AGPL-3.0 header", "GPL-2", "Unlicense", "BSL-1.0"} <= set(library)
+    short = {n: t for n, t in library.items() if len(t) < 4000}
+    got = found(docs([(i, "pre fix " + t + " post") for i, t in enumerate(short.values())]), templates=library)
+    assert {(i, n, 1.0) for i, n in enumerate(short)} <= {g[:3] for g in got}

@@ -6,8 +6,9 @@
 2. Classes are shuffled on their band hashes.  Each bucket links its members to
    its smallest one; the components of these links are the candidate groups.
    Two classes that share a band are in one group.
-3. Groups are cut into blocks of bounded size by a hash.  Each pair of blocks is
-   one task's input: it intersects the full sets of its members and returns per
+3. Groups are cut into levels of set sizes and these into blocks by a hash, bounded
+   in members and on average in n-grams.  Sets of levels that aren't neighbours can't
+   be similar; each pair of blocks of other levels is one task's input: it intersects the full sets of its members and returns per
    member the rows it is similar to and its local component, never the pairs.
 4. Counts are summed, and local components joined to the final classes.
 
@@ -40,6 +41,8 @@ RECALL = 0.9999
 MAX_HASHES = 80
 #: Members of a block; a task compares two blocks at a time.
 BLOCK = 400
+#: N-grams of a block, on average; the sizes in a block differ by little, as they are of one level.
+BLOCK_GRAMS = 1_000_000
 _SEED = 20240607
 _COLUMNS = 8192
 
@@ -93,7 +96,7 @@ def _word_hashes(text: Column) -> Column:
 
 
 def sketch(docs: DataFrame, doc_id: str, text: str, size: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, row_key, set_key, bands): one row per document; set_key NULL without words."""
+    """(doc_id, row_key, set_key, n_grams, bands): one row per document; set_key NULL without words."""
 
     def signatures(batches):
         rng = np.random.default_rng(_SEED)
@@ -101,10 +104,11 @@ def sketch(docs: DataFrame, doc_id: str, text: str, size: int, bands: int, rows:
         shift = rng.integers(0, 2**63, bands * rows, dtype=np.uint64)
         number = np.arange(1, bands + 1, dtype=np.uint64)
         for batch in batches:
-            keys, found = [], []
+            keys, counts, found = [], [], []
             for grams in _batch_sets(batch.column("hashes"), size):
                 if not len(grams):
                     keys.append(None)
+                    counts.append(0)
                     found.append(None)
                     continue
                 low = np.full(bands * rows, np.uint64(0xFFFFFFFFFFFFFFFF))
@@ -117,15 +121,17 @@ def sketch(docs: DataFrame, doc_id: str, text: str, size: int, bands: int, rows:
                     mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + low[:, k]
                     mixed ^= mixed >> np.uint64(31)
                 keys.append(set_key(grams))
+                counts.append(len(grams))
                 found.append(mixed.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("row_key"),
                     pa.array(keys, pa.binary()),
+                    pa.array(counts, pa.int64()),
                     pa.array(found, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "row_key", "set_key", "bands"],
+                names=["doc_id", "row_key", "set_key", "n_grams", "bands"],
             )
 
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -133,7 +139,7 @@ def sketch(docs: DataFrame, doc_id: str, text: str, size: int, bands: int, rows:
         F.col(doc_id).alias("doc_id"),
         row_key(docs, doc_id, text).alias("row_key"),
         _word_hashes(F.col(text)).alias("hashes"),
-    ).mapInArrow(signatures, f"doc_id {kind}, row_key binary, set_key binary, bands array<bigint>")
+    ).mapInArrow(signatures, f"doc_id {kind}, row_key binary, set_key binary, n_grams bigint, bands array<bigint>")
 
 
 def _similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, limit: Fraction) -> np.ndarray:
@@ -216,6 +222,36 @@ def _grams(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, size: int
     return found.dropDuplicates(["set_key"])  # a repeated row gives its set again
 
 
+def blocked(members: DataFrame) -> DataFrame:
+    """(root, near, block, set_key, copies, row_key): ``near`` has (level, blocks) of the levels to compare with."""
+    sizes = members.groupBy("root", "level").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_grams") / BLOCK_GRAMS)).alias("blocks")
+    )
+    other = sizes.select("root", F.col("level").alias("l"), F.col("blocks").alias("b"))
+    near = (
+        sizes.join(other, "root")
+        .where(F.abs(F.col("level") - F.col("l")) <= 1)
+        .groupBy("root", "level", "blocks")
+        .agg(F.collect_list(F.struct("l", "b")).alias("near"))
+    )
+    return (
+        members.join(rekeyed(near, "root"), ["root", "level"])
+        .withColumn("block", _block_id(F.col("level"), F.pmod(F.xxhash64("set_key"), F.col("blocks"))))
+        .select("root", "near", "block", "set_key", "copies", "row_key")
+    )
+
+
+def _block_id(level: Column, number: Column) -> Column:
+    return F.shiftleft(level.cast("bigint"), 40) + number
+
+
+def _blocks_of(near: str) -> Column:
+    first = F.lit(0).cast("bigint")
+    return F.flatten(
+        F.transform(near, lambda x: F.transform(F.sequence(first, x["b"] - 1), lambda k: _block_id(x["l"], k)))
+    )
+
+
 def join(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -234,7 +270,7 @@ def join(
     sketched = stored(sketch(docs, doc_id, text, size, bands, rows), "ngram-sketch")
     classes = stored(
         sketched.where("set_key IS NOT NULL")
-        .groupBy("set_key", "bands")
+        .groupBy("set_key", "n_grams", "bands")
         .agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.min("row_key").alias("row_key")),
         "ngram-classes",
     )
@@ -244,16 +280,16 @@ def join(
     near = banded.join(shared, ["number", "band"]).select("set_key", "head")
     groups = stored(components(near, "set_key", "head"), "ngram-groups")
     members = groups.union(groups.select("root", "root").distinct())
-    sizes = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    wanted = (
+    # Similar sets are of one level or of neighbours; the factor keeps rounding on the safe side.
+    level = F.floor(F.log("n_grams") / math.log(1.001 / similarity))
+    members = (
         members.withColumnRenamed("node", "set_key")
-        .join(rekeyed(sizes, "root"), "root")
-        .join(classes.select("set_key", "copies", "row_key"), "set_key")
-        .withColumn("block", F.pmod(F.xxhash64("set_key"), F.col("blocks")))
-        .select("root", "blocks", "block", "set_key", "copies", "row_key")
+        .join(classes.select("set_key", "n_grams", "copies", "row_key"), "set_key")
+        .withColumn("level", level)
     )
+    wanted = blocked(members)
     full = _grams(docs, doc_id, text, stored(wanted, "ngram-wanted"), size)
-    paired = full.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(
+    paired = full.withColumn("other", F.explode(_blocks_of("near"))).select(
         "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set_key",
         "copies", "grams",
     )
@@ -277,7 +313,7 @@ def join(
     )
     alone = F.col("set_key").isNull()
     return (
-        sketched.drop("bands")
+        sketched.drop("n_grams", "bands")
         .join(described, "set_key", "left")
         .select(
             "doc_id",

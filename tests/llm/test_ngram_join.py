@@ -134,3 +134,19 @@ def test_components_of_random_graphs(spark):
         root[y] = x
     nodes = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: head(x) for x in nodes if head(x) != x}
+
+
+def test_blocks_are_bounded_by_their_grams(spark, docs, monkeypatch):
+    """Large sets are spread over more blocks, levels that can't be similar aren't paired, and no link is lost."""
+    rows = [("r", f"k{i}".encode(), 10 + 90 * (i % 2), i % 2 * 10, 1, b"") for i in range(400)]
+    members = spark.createDataFrame(rows, "root string, set_key binary, n_grams bigint, level bigint, copies bigint, row_key binary")
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 1000)
+    blocks = defaultdict(list)
+    for r in ngram_join.blocked(members).collect():
+        blocks[r.block].append(r)
+    held = {b: sum(10 + 90 * (int(r.set_key[1:]) % 2) for r in own) for b, own in blocks.items()}
+    assert len(blocks) > 15 and max(held.values()) <= 3000
+    assert all(len(r.near) == 1 for own in blocks.values() for r in own)
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 60)
+    pairs = copies(7, 12, 12)
+    assert found(docs(pairs)) == brute(pairs)

@@ -8,8 +8,8 @@ found in a text with a chance equal to the containment.
 
 1. Items are partitioned by their number of shingles.  Each partition has its
    own k, the least for which an item exactly at the threshold leaves no hit
-   with a chance of ``1 - recall`` at most, even for the partition's smallest
-   item; partitions so small that k covers them hold all their shingles.
+   with a chance of ``1 - recall`` at most, whatever its size in the partition's
+   range; the last partition is open and has the bound for all sizes.
 2. Every shingle of every text is looked up among the sampled hashes.  Texts
    with a hit and the items they hit are candidates.
 3. Candidates are verified on the shingle texts themselves, all of them.
@@ -38,17 +38,25 @@ RECALL = 1 - 1e-6
 SIZES = (8, 16, 32, 64, 128, 256, 512)
 
 
-def sample_size(smallest: int, containment: float, recall: float = RECALL) -> int:
-    """k for items of ``smallest`` shingles and more.
+def _draws(n: int, containment: float, recall: float) -> int:
+    """Least k for items of exactly ``n`` shingles.
 
     Of n shingles at most n - ceil(c n) are missing; k draws without
     replacement that are all missing have the chance below.
     """
-    missing = smallest - math.ceil(containment * smallest - 1e-9)
+    missing = n - math.ceil(containment * n - 1e-9)
     k, chance = 0, 1.0
     while chance > 1 - recall and k <= missing:
-        chance *= (missing - k) / (smallest - k)
+        chance *= (missing - k) / (n - k)
         k += 1
+    return k
+
+
+def sample_size(smallest: int, containment: float, recall: float = RECALL, largest: int | None = None) -> int:
+    """k for items of ``smallest`` to ``largest`` shingles, or of ``smallest`` and more."""
+    if largest is not None:
+        return max(1, *(_draws(n, containment, recall) for n in range(smallest, largest + 1)))
+    k = _draws(smallest, containment, recall)
     # Larger items have a larger share missing at most 1 - c; bound them all.
     if containment < 1:
         k = max(k, math.ceil(math.log(1 - recall) / math.log(1 - containment)))
@@ -65,7 +73,7 @@ def item_sketches(items: DataFrame, item_id: str, text: str, size: int, containm
     ).where(F.size("grams") > 0)
     k = F.lit(sample_size(SIZES[-1] + 1, containment, recall))
     for low, high in reversed([*zip((0, *SIZES), SIZES)]):
-        k = F.when(F.size("grams") <= high, F.lit(sample_size(low + 1, containment, recall))).otherwise(k)
+        k = F.when(F.size("grams") <= high, F.lit(sample_size(low + 1, containment, recall, high))).otherwise(k)
     return sets.select(
         "item_id",
         F.xxhash64(F.coalesce(F.col("item_id").cast("string"), F.lit("")), "grams").alias("item_key"),

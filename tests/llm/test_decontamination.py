@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -73,3 +74,13 @@ def test_sample_finds_items_at_the_threshold():
     for low in (1, 9, 17, 100):
         assert decontamination.sample_size(low, 0.8) <= 16
     assert 0.2 ** decontamination.sample_size(1000, 0.8) <= 1e-6
+
+
+def test_each_partition_has_its_own_sample_size():
+    ranges = [*zip((0, *decontamination.SIZES), decontamination.SIZES)]
+    sizes = [decontamination.sample_size(low + 1, 0.8, largest=high) for low, high in ranges]
+    assert sizes == sorted(sizes) and sizes[0] < sizes[2] < 9 and sizes[-1] <= 9
+    for (low, high), k in zip(ranges, sizes):
+        for n in range(low + 1, high + 1):
+            missing = n - math.ceil(0.8 * n - 1e-9)
+            assert math.comb(missing, k) <= (1e-6 + 1e-15) * math.comb(n, k) if k <= n else True

@@ -124,7 +124,7 @@ class Rollup:
         added.select(*columns).unionByName(taken.select(*columns)).write.mode("overwrite").parquet(path)
         written = self.spark.read.schema(LEDGER).parquet(path)
         deltas = written.groupBy(*GROUP).agg(*[F.sum(c).alias(c) for c in SUMS])
-        deltas.coalesce(1).write.mode("overwrite").parquet(self._path("deltas", batch))  # one row per group
+        deltas.write.mode("overwrite").parquet(self._path("deltas", batch))  # one row per group
         self.spark.range(1).toDF("at").coalesce(1).write.mode("overwrite").parquet(self._path("commits", batch))
         return True
 

@@ -78,3 +78,18 @@ def totals_of(df):
 
 def test_empty_table(docs, rollup):
     assert totals_of(rollups.load(docs([]), rollup, rollups.Counter.installed())) == []
+
+
+def test_deltas_of_many_sources_are_written_by_many_tasks(spark, rollup):
+    rows = [("insert", i, f"s{i}", "en", "v", 1, 1) for i in range(400)]
+    kinds = "op string, doc_id bigint, source string, lang string, tokenizer string, n_tokens bigint, n_bytes bigint"
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        rollup.commit("many", spark.createDataFrame(rows, kinds))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(spark.read.parquet(f"{rollup.folder}/deltas/batch=many").inputFiles()) == 4
+    assert rollup.totals().count() == 400

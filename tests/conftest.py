@@ -31,11 +31,3 @@ def spark(tmp_path_factory):
 def rows(spark):
     """Build a table from tuples and a DDL schema."""
     return lambda data, ddl: spark.createDataFrame(data, ddl)
-
-
-def as_set(df, *columns):
-    return {tuple(r) for r in (df.select(*columns) if columns else df).collect()}
-
-
-def as_dict(df, key):
-    return {r[key]: r.asDict() for r in df.collect()}

@@ -1,5 +1,5 @@
 import pytest
-from conftest import as_set
+from helpers import as_set
 
 from omnibus.operators.access import OPEN_ROLES, Slicer, Viewer, visible
 from omnibus.plans.report import SORTS, VISUALS, report_query

@@ -1,7 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import as_dict, as_set
+from helpers import as_dict, as_set
 
 from omnibus.plans import gold, questions
 

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import as_set
+from helpers import as_set
 
 from omnibus.operators.quality import QualityGateFailed
 from omnibus.plans import gold, jobs, loads

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import as_dict, as_set
+from helpers import as_dict, as_set
 
 from omnibus import params
 from omnibus.operators.upsert import RepeatedSourceKey

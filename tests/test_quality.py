@@ -1,5 +1,5 @@
 import pytest
-from conftest import as_dict
+from helpers import as_dict
 
 from omnibus.operators import quality
 from omnibus.plans import checks

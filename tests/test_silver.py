@@ -3,7 +3,7 @@ import math
 import random
 
 import pytest
-from conftest import as_dict, as_set
+from helpers import as_dict, as_set
 from pyspark.sql import functions as F
 
 from omnibus import params

@@ -3,7 +3,7 @@ import json
 import os
 
 import pytest
-from conftest import as_set
+from helpers import as_set
 from pyspark.sql import functions as F
 
 from omnibus.plans import loads, silver

@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from omnibus.llm import bpe, decontamination, extraction, licenses, ngram_join, sharding, sql, token_rollups, topk, toxicity, warc
+from omnibus.llm import (
+    bpe, decontamination, extraction, hard_negatives, language_id, licenses, ngram_join, sharding, sql, token_rollups,
+    topk, toxicity, warc,
+)
 from omnibus.llm.common import table
 from omnibus.sources.shared import fresh_folder
 
@@ -57,6 +61,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rollups.load(table(spark, sf_dir, "documents"), rollup, token_rollups.Counter.installed())
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, moved)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -68,10 +82,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_extraction": op9_extraction,
     "op10_token_counts": op10_token_counts,
+    "op12_language_id": op12_language_id,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 SQL: dict[str, str] = {
     "op2_decontamination": sql.DECONTAMINATION,
     "op5_warc": sql.WARC,
     "op6_topk": sql.TOPK,
     "op8_ngram_join": sql.NGRAM_JOIN,
+    "op13_hard_negatives": sql.HARD_NEGATIVES,
 }

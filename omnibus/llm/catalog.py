@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from omnibus.llm import (
     bpe, decontamination, extraction, hard_negatives, language_id, licenses, ngram_join, sharding, sql, token_rollups,
-    topk, toxicity, warc,
+    topk, toxicity, warc, whitening,
 )
 from omnibus.llm.common import table
 from omnibus.sources.shared import fresh_folder
@@ -61,6 +61,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rollups.load(table(spark, sf_dir, "documents"), rollup, token_rollups.Counter.installed())
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
 def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.predict(docs, language_id.fit(docs))
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_extraction": op9_extraction,
     "op10_token_counts": op10_token_counts,
+    "op11_whitening": op11_whitening,
     "op12_language_id": op12_language_id,
     "op13_hard_negatives": op13_hard_negatives,
 }

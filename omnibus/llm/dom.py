@@ -35,7 +35,7 @@ SCOPE = frozenset("ul ol dl table td th div section article main aside body html
 HINTS = {
     "advert": "ad ads advert adverts advertisement sponsor sponsored promo promotion banner adsense",
     "menu": "nav navbar navigation menu menubar breadcrumb breadcrumbs topbar toolbar pager pagination tabs",
-    "comment": "comment comments reply replies disqus discussion respond",
+    "comment": "comment comments commentlist reply replies disqus discussion respond",
     "foot": "footer foot copyright colophon legal imprint",
     "side": "sidebar side widget related recommended share sharing social tags popular newsletter teaser",
     "notice": "cookie cookies consent gdpr notice popup modal overlay alert subscribe paywall signup login search",
@@ -171,7 +171,7 @@ class Page:
 
     def _pop(self, depth: int) -> None:
         """Close all elements from ``depth`` on."""
-        if any(tag not in HIDDEN for tag, _ in self._stack[depth:]):
+        if self._node() != (self._stack[depth - 1][1] if depth else 0):
             self._flush()
         for tag, _ in self._stack[depth:]:
             self._open[tag].pop()
@@ -209,9 +209,12 @@ class Page:
             self._hidden += 1
             self._push(tag, self._node())
             return
-        self._flush()
         if tag == "body":  # a head without an end
             self._end_implied(frozenset(["head"]), frozenset())
+        if self._hidden:
+            self._push(tag, self._node())
+            return
+        self._flush()
         self._end_implied(frozenset(["p"]), SCOPE)
         if tag in ENDS:
             self._end_implied(ENDS[tag], SCOPE - {"td", "th"} if tag == "tr" else SCOPE - ENDS[tag])
@@ -231,6 +234,8 @@ class Page:
             self._link = None
         elif tag not in INLINE and self._open.get(tag):
             self._pop(self._open[tag][-1])
+        elif tag == "p" and not self._hidden:  # stands for an empty paragraph
+            self._flush()
 
     def _data(self, data: str) -> None:
         if data.strip(" \t\n\r\f"):

@@ -14,19 +14,23 @@ most that run, so a text with so many changes always shares a fingerprint.
 
 Hits give diagonals (place in text minus place in template).  Around each bundle
 of diagonals the template is aligned to the text in a band, locally; matched words
-over all template words is the coverage.
+over all template words is the coverage.  Bands whose longest common subsequence
+is too short for the coverage wanted are not aligned.  Where that finds nothing,
+bands that reach over half a template's length of added words are tried.
 
 Defined cases: NULL and short texts hit nothing.  A template of fewer than
-``GRAM`` words is refused.  Of overlapping finds of one template the best covered
-stays, then the first.  Equal rows are reported each.
+``GRAM`` words is refused.  Of overlapping finds of one template the one around
+more hits stays, then the first.  Equal rows are reported each.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +42,7 @@ GRAM = 4
 WINDOW = 4
 COVERAGE = 0.8
 MAX_FINGERPRINTS = 100_000
+_START, _PAIRED, _SKIPPED, _ADDED = range(4)
 #: Templates of at most so many words have k-grams of three words at most.
 SHORT = 20
 
@@ -136,71 +141,149 @@ def align(template: list[str], text: list[str], low: int, high: int) -> list[int
 
     Only cells on diagonals ``low`` to ``high`` (place in text minus place in template) are filled.  A
     match counts 1, a replaced, missing or added word -1; both ends of either side are free, so a part
-    of the template is found, too.
+    of the template is found, too.  Of equally good steps a match or replacement goes first, then the
+    start of the alignment, then a missing word.
     """
-    width = high - low + 1
-    # Cell d of row i: i template words used, i + low + d text words used.
-    score, came = [0] * width, []
+    width, number = high - low + 1, {}
+    wanted = [number.setdefault(w, len(number)) for w in template]
+    # Cell d of row i: i template words used, i + low + d text words used; none is beyond the text's ends.
+    numbers = np.full(len(template) + width + 1, -1, np.int32)
+    inside = np.zeros(len(numbers), bool)
+    first, last = max(0, low), min(len(text), low + len(numbers))
+    if first < last:
+        numbers[first - low : last - low] = [number.get(w, -1) for w in text[first:last]]
+        inside[first - low : last - low] = True
+    reach = np.arange(width, dtype=np.int32)
+    score = np.zeros(width, np.int32)
+    came = np.zeros((len(template), width), np.int8)
     best = (0, 0, 0)
-    for i, word in enumerate(template):
-        row, steps = [0] * width, [""] * width
-        for d in range(width):
-            used = i + 1 + low + d
-            if not 1 <= used <= len(text):
-                continue
-            same = text[used - 1] == word
-            options = [(score[d] + (1 if same else -1), "match" if same else "swap"), (0, "")]
-            if d + 1 < width:
-                options.append((score[d + 1] - 1, "skip"))
-            if d:
-                options.append((row[d - 1] - 1, "add"))
-            row[d], steps[d] = max(options, key=lambda o: o[0])
-            if row[d] > best[0]:
-                best = (row[d], i + 1, d)
-        score = row
-        came.append(steps)
+    for i, word in enumerate(wanted):
+        diagonal = score + np.where(numbers[i : i + width] == word, 1, -1).astype(np.int32)
+        above = np.full(width, -1, np.int32)
+        above[:-1] = score[1:] - 1
+        row = np.maximum(np.maximum(diagonal, above), 0)
+        # A run of added words loses one for each: the running maximum of what remains of the cells before.
+        row = np.maximum.accumulate(row + reach) - reach
+        row[~inside[i : i + width]] = 0
+        steps = np.where(row == diagonal, _PAIRED, np.where(row == above, _SKIPPED, _ADDED))
+        came[i] = np.where((row == 0) & (steps != _PAIRED) | ~inside[i : i + width], _START, steps)
+        score, at = row, int(row.argmax())
+        if row[at] > best[0]:
+            best = (int(row[at]), i + 1, at)
     _, i, d = best
     matched = []
-    while i > 0 and (step := came[i - 1][d]):
-        if step == "match":
-            matched.append(i + low + d - 1)
-        if step in ("match", "swap"):
+    while i > 0 and (step := came[i - 1, d]) != _START:
+        if step == _PAIRED:
             i -= 1
-        elif step == "skip":
+            if numbers[i + d] == wanted[i]:
+                matched.append(i + low + d)
+        elif step == _SKIPPED:
             i, d = i - 1, d + 1
         else:
             d -= 1
     return matched[::-1]
 
 
+def common(template: list[str], text: list[str], low: int, high: int) -> int:
+    """Length of the longest common subsequence on diagonals ``low`` to ``high``: no alignment there matches more.
+
+    One bit stands for each template word, so a text word is one step on a wide integer.
+    """
+    places: dict[str, int] = defaultdict(int)
+    for i, word in enumerate(template):
+        places[word] |= 1 << i
+    full, band = (1 << len(template)) - 1, (1 << (high - low + 1)) - 1
+    unmatched = full
+    for used in range(max(0, low), min(len(text), len(template) + high)):
+        if at := places.get(text[used], 0) & unmatched:
+            # Template places that this text place meets on the diagonals.
+            if at := at & (band << used - high if used >= high else band >> high - used):
+                unmatched = ((unmatched + at) | (unmatched - at)) & full
+    return len(template) - unmatched.bit_count()
+
+
+def _bundles(diagonals: list[int], gap: int):
+    """Neighbouring diagonals, cut where one is more than ``gap`` from the bundle's first."""
+    bundle: list[int] = []
+    for diagonal in diagonals:
+        if bundle and diagonal - bundle[0] > gap:
+            yield bundle
+            bundle = []
+        bundle.append(diagonal)
+    if bundle:
+        yield bundle
+
+
+def _best_in(template: list[str], text: list[str], low: int, high: int, least: float) -> list[int]:
+    """Matched places of the best alignment on diagonals ``low`` to ``high``; none where they are fewer than ``least``."""
+    n = len(template)
+    for d in range(max(0, low), min(len(text) - n, high) + 1):
+        if text[d] == template[0] and text[d : d + n] == template:
+            return list(range(d, d + n))  # nothing scores more
+    near = text[max(0, low) : high + n]
+    if (Counter(template) & Counter(near)).total() < least or common(template, text, low, high) < least:
+        return []
+    matched = align(template, text, low, high)
+    return matched if len(matched) >= least else []
+
+
+class _Taken:
+    """Stretches of a text, none overlapping another, by place."""
+
+    def __init__(self):
+        self.firsts: list[int] = []
+        self.finds: list[list[int]] = []
+
+    def _overlapping(self, start: int, stop: int) -> list[list[int]]:
+        low = bisect_right(self.firsts, start)
+        low -= bool(low and self.finds[low - 1][-1] >= start)
+        return self.finds[low : bisect_left(self.firsts, stop)]
+
+    def room(self, start: int, stop: int, least: float) -> bool:
+        """Whether some stretch of [start, stop) that no find covers holds ``least`` words."""
+        for matched in self._overlapping(start, stop):
+            if matched[0] - start >= least:
+                return True
+            start = matched[-1] + 1
+        return stop - start >= least
+
+    def add(self, matched: list[int]) -> None:
+        if matched and not self._overlapping(matched[0], matched[-1] + 1):
+            at = bisect_left(self.firsts, matched[0])
+            self.firsts.insert(at, matched[0])
+            self.finds.insert(at, matched)
+
+
+def _aligned(template: list[str], text: list[str], diagonals: list[int], least: float) -> list[list[int]]:
+    """Matched places of the finds of one template, none overlapping another, by place."""
+    n, taken = len(template), _Taken()
+    band, step = max(2, n // 10), max(1, n // 4)
+    # Where hits are dense, first.
+    bundles = sorted(_bundles(diagonals, band), key=lambda b: (-len(b), b[0]))
+    tries = [(b[0], b[-1]) for b in bundles]
+    # What no find covers is searched again in bands that reach across long insertions.
+    at = 0
+    while at < len(diagonals):
+        first, last = diagonals[at], diagonals[bisect_right(diagonals, diagonals[at] + 2 * step) - 1]
+        if last - first > band:
+            tries.append((first, last))
+        at = bisect_left(diagonals, first + step)
+    for first, last in tries:
+        if taken.room(max(0, first - band), min(len(text), last + band + n), least):
+            taken.add(_best_in(template, text, first - band, last + band, least))
+    return taken.finds
+
+
 def finds(text: list[str], hits: list[tuple[int, int, int]], templates, places, coverage: float) -> list[tuple]:
     """(template, matched words, coverage, spans) of each template found in the words of a text."""
-    diagonals = defaultdict(set)
+    diagonals = defaultdict(list)
     for at, k, value in hits:
         for name, place in places[k, value]:
-            diagonals[name].add(at - place)
+            diagonals[name].append(at - place)
     out = []
     for name in sorted(diagonals):
         template = templates[name]
-        band, least = max(2, len(template) // 10), coverage * len(template) - 1e-9
-        found, start, last = [], None, None
-        for diagonal in [*sorted(diagonals[name]), None]:
-            if start is not None and (diagonal is None or diagonal - start > band):
-                # No more words can match than both sides have in common.
-                near = Counter(text[max(0, start - band) : last + band + len(template)])
-                if (Counter(template) & near).total() >= least:
-                    matched = align(template, text, start - band, last + band)
-                    if len(matched) >= least:
-                        found.append(matched)
-                start = None
-            if start is None:
-                start = diagonal
-            last = diagonal
-        taken: list[list[int]] = []
-        for matched in sorted(found, key=lambda m: (-len(m), m[0])):
-            if all(matched[-1] < t[0] or matched[0] > t[-1] for t in taken):
-                taken.append(matched)
-        for matched in sorted(taken):
+        for matched in _aligned(template, text, sorted(diagonals[name]), coverage * len(template) - 1e-9):
             spans = [[matched[0], matched[0] + 1]]
             for at in matched[1:]:
                 if at == spans[-1][1]:

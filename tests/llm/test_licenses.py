@@ -1,8 +1,11 @@
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from omnibus.llm import licenses
+from omnibus.llm.common import shingle_hashes
 
 
 def found(df, **options):
@@ -57,6 +60,109 @@ def test_alignment_equals_full_table():
         assert len(matched) >= best  # each match scores one at most
 
 
+def stepwise(template, text, low, high):
+    """The alignment cell by cell, as its docstring states it."""
+    score, came, best = {}, {}, (0, 0, 0)
+    for i in range(1, len(template) + 1):
+        for j in range(max(1, i + low), min(len(text), i + high) + 1):
+            same = template[i - 1] == text[j - 1]
+            options = [(score.get((i - 1, j - 1), 0) + (1 if same else -1), "pair"), (0, "")]
+            if j <= i - 1 + high:
+                options.append((score.get((i - 1, j), 0) - 1, "skip"))
+            if j - 1 >= i + low:
+                options.append((score.get((i, j - 1), 0) - 1, "add"))
+            score[i, j], came[i, j] = max(options, key=lambda o: o[0])
+            if score[i, j] > best[0]:
+                best = (score[i, j], i, j)
+    _, i, j = best
+    matched = []
+    while step := came.get((i, j), ""):
+        if step == "pair" and template[i - 1] == text[j - 1]:
+            matched.append(j - 1)
+        i, j = i - (step != "add"), j - (step != "skip")
+    return matched[::-1]
+
+
+def test_alignment_equals_steps_in_any_band():
+    rng = random.Random(8)
+    for _ in range(400):
+        a, b = rng.choices("abcde", k=rng.randint(1, 14)), rng.choices("abcde", k=rng.randint(0, 16))
+        low = rng.randint(-len(a) - 2, 4)
+        high = low + rng.randint(0, len(a) + len(b))
+        assert licenses.align(a, b, low, high) == stepwise(a, b, low, high)
+
+
+def test_common_words_bound_the_alignment():
+    rng = random.Random(9)
+    for _ in range(300):
+        a, b = rng.choices("abcde", k=rng.randint(1, 14)), rng.choices("abcde", k=rng.randint(0, 16))
+        low = rng.randint(-len(a) - 2, 4)
+        high = low + rng.randint(0, len(a) + len(b))
+        length = {}
+        for i in range(len(a) + 1):
+            for j in range(len(b) + 1):
+                pair = i and j and a[i - 1] == b[j - 1] and low <= j - i <= high
+                longest = max(length.get((i - 1, j), 0), length.get((i, j - 1), 0))
+                length[i, j] = max(longest, length[i - 1, j - 1] + 1) if pair else longest
+        assert licenses.common(a, b, low, high) == length[len(a), len(b)] >= len(licenses.align(a, b, low, high))
+
+
+def edited(words, share, rng):
+    """``words`` with a share of them replaced, left out or followed by another."""
+    out = []
+    for w in words:
+        kind = rng.random() / share
+        out += [w] if kind >= 1 else rng.choice([["zz"], [], [w, "zz"]])
+    return out
+
+
+def by_full_table(texts, templates):
+    """(text, license) of each best local alignment, over all diagonals, that covers enough."""
+    found = set()
+    for d, text in texts:
+        for name, words in templates.items():
+            if licenses.common(words, text, -len(words), len(text)) >= licenses.COVERAGE * len(words) - 1e-9:
+                if len(licenses.align(words, text, -len(words), len(text))) >= licenses.COVERAGE * len(words) - 1e-9:
+                    found.add((d, name))
+    return found
+
+
+@pytest.mark.parametrize("longest", [120, 6000])
+def test_headers_and_full_texts_equal_the_full_table(docs, longest):
+    rng = random.Random(longest)
+    templates = {n: t for n, t in licenses.library().items() if len(licenses_words(t)) <= longest}
+    split = {n: licenses_words(t) for n, t in templates.items()}
+    chosen = [n for n in split if longest < 200 or n in ("GPL-3", "LGPL-2.1", "Apache-2.0", "MPL-2.0", "BSD-3-Clause", "GFDL-1.2")]
+    texts = []
+    for name in chosen:
+        texts.append(["pre"] * rng.randint(0, 40) + edited(split[name], rng.choice([0.02, 0.08]), rng) + ["post"] * 20)
+    texts += [edited(split[name], 0.6, rng) for name in chosen[:3]]
+    expected = by_full_table(list(enumerate(texts)), split)
+    got = found(docs([(i, " ".join(t)) for i, t in enumerate(texts)]), templates=templates)
+    assert {g[:2] for g in got} == expected and len(expected) >= len(chosen)
+
+
+def test_full_text_in_bounded_time(spark):
+    library = licenses.library()
+    templates, places = licenses.index(spark, library)
+    words = templates["GPL-3"]
+    for text in (words, ["pre"] * 50 + edited(words, 0.03, random.Random(1))):
+        hits = hits_of(spark, text, places)
+        start = time.perf_counter()
+        names = {f[0] for f in licenses.finds(text, hits, templates, places, 0.8)}
+        assert {"GPL-3", "GPL-3.0 header"} <= names and time.perf_counter() - start < 10
+
+
+def test_many_notices_in_one_text(docs):
+    got = found(docs([(1, "some words then released under the MIT license " * 20_000)]))
+    assert sorted(g[3] for g in got) == [8 * i + 3 for i in range(20_000)]
+
+
+def hits_of(spark, text, places):
+    row = spark.createDataFrame([(text,)], "w array<string>").select(*[shingle_hashes(F.col("w"), k) for k in range(1, 5)]).first()
+    return [(i, k, h) for k in range(1, 5) for i, h in enumerate(row[k - 1]) if (k, h) in places]
+
+
 def test_winnowing_guarantee():
     rng = random.Random(3)
     for _ in range(50):

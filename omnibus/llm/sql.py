@@ -25,20 +25,21 @@ FROM reach GROUP BY doc_id
 """
 
 _GRAMS = (
-    "CASE WHEN len(w) < 5 THEN [] "
+    "CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] "
     "ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END"
 )
 
 DECONTAMINATION = f"""
-WITH items AS (
-  SELECT item_id, unnest(list_distinct({_GRAMS})) AS gram FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
-sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
-texts AS (
-  SELECT doc_id, unnest(list_distinct({_GRAMS})) AS gram FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
+WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+items AS (SELECT DISTINCT item_id, w, unnest({_GRAMS}) AS gram FROM b),
+sizes AS (SELECT item_id, w, count(*) AS n FROM items GROUP BY item_id, w),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+texts AS (SELECT DISTINCT r, doc_id, unnest({_GRAMS}) AS gram FROM d),
 shared AS (
-  SELECT doc_id, item_id, count(*) AS k FROM texts JOIN items USING (gram) GROUP BY doc_id, item_id)
+  SELECT r, doc_id, item_id, items.w, count(*) AS k FROM texts JOIN items USING (gram) GROUP BY ALL),
+held AS (SELECT r, doc_id, item_id, n, k FROM shared JOIN sizes USING (item_id, w) WHERE 5 * k >= 4 * n)
 SELECT doc_id, item_id, CAST(n AS INTEGER) AS n_item, CAST(k AS INTEGER) AS n_shared, round(k / n, 6) AS containment
-FROM shared JOIN sizes USING (item_id) WHERE 5 * k >= 4 * n
+FROM held QUALIFY row_number() OVER (PARTITION BY r, item_id ORDER BY k / n DESC, n DESC) = 1
 """
 
 TOPK = """

@@ -10,6 +10,9 @@ Vocabulary files are read on the driver, from a path that is a parameter, and
 their tables sent to the executors once (bounded by the vocabulary).  Each
 Python worker keeps the encodings of recent words, up to ``CACHE_WORDS``.
 
+Texts are brought to Unicode form C as the tokenizers library has it, whose
+tables know no combining marks added after version 9.
+
 Defined cases: NULL encodes as the empty text: no ids.  Strings of special
 tokens inside a text become those tokens, as the tokenizers library has it.
 Ids are unsigned 32-bit, little-endian in the digest.
@@ -40,6 +43,18 @@ _NONE = 1 << 60
 # The split pattern of the vocabulary's pre-tokenizer, and the white space its normalizer replaces.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
+# Combining marks that Unicode got after version 9, and the second half of a pair that it composes since.
+# The tokenizers library's normalizer is of that version and neither moves them nor composes anything across them.
+_LATE = regex.compile(
+    "(["
+    "\u07FD\u0898-\u089F\u08CA-\u08D3\u09FE\u0C3C\u0D3B-\u0D3C\u0EBA\u1715\u1ABF-\u1ACE\u1DF6-\u1DFA"
+    "\uA82C\U00010D24-\U00010D27\U00010EAB-\U00010EAC\U00010EFD-\U00010EFF\U00010F46-\U00010F50"
+    "\U00010F82-\U00010F85\U00011070\U0001133B\U0001145E\U00011839-\U0001183A\U00011930"
+    "\U0001193D-\U0001193E\U00011943\U000119E0\U00011A34\U00011A47\U00011A99\U00011D42"
+    "\U00011D44-\U00011D45\U00011D97\U00011F41-\U00011F42\U00016FF0-\U00016FF1\U0001E08F"
+    "\U0001E130-\U0001E136\U0001E2AE\U0001E2EC-\U0001E2EF\U0001E4EC-\U0001E4EF"
+    "])"
+)
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -181,7 +196,10 @@ class WordBpe:
         return [p for p in parts if p >= 0]
 
     def normalize(self, text: str) -> str:
-        text = unicodedata.normalize("NFC", text)
+        composed = unicodedata.normalize("NFC", text)
+        if composed != text and _LATE.search(text):
+            composed = "".join(unicodedata.normalize("NFC", part) for part in _LATE.split(text))
+        text = composed
         # Character by character: a capital sigma at a word's end is an ordinary one.
         return text.replace("Σ", "σ").lower()
 

@@ -1,5 +1,6 @@
 import hashlib
 import struct
+import unicodedata
 from array import array
 
 import pytest
@@ -66,3 +67,20 @@ def test_encoded_round_trip(docs, vocabulary):
 
 def test_empty_table(docs, vocabulary):
     assert bpe.digests(docs([]), vocabulary).count() == 0
+
+
+MARKS = [c for c in map(chr, range(0x110000)) if unicodedata.combining(c)]
+
+
+def test_every_mark_stands_where_the_library_puts_it(vocabulary, library):
+    # Before and after marks of the lowest, a middle and the highest class, and one that composes.
+    texts = [t for c in MARKS for o in "̴̧́ͅ" for t in (f"a{c}{o}", f"a{o}{c}", f"e{o}{c}́")]
+    texts += ["\U00011935\U00011930", "\U00011938́", "a࢜́ͅ"]
+    for text in texts:
+        assert list(array("I", vocabulary.encode(text))) == library.encode(text, add_special_tokens=False).ids, text.encode("unicode_escape")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.sampled_from(MARKS), st.sampled_from("aeoक가각 ")), max_size=12))
+def test_random_marks_equal_the_library(vocabulary, library, text):
+    assert list(array("I", vocabulary.encode(text))) == library.encode(text, add_special_tokens=False).ids

@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from omnibus.sources.shared import cut
 
 _US = 1_000_000
-#: Points of a run that is folded.  Each kept point copies those before it, so the limit bounds that copying.
-FOLD_LIMIT = 1_000
+#: Points of a run that is folded: what one task holds at once.
+FOLD_LIMIT = 200_000
+#: Kept points of a fold are gathered in blocks of so many, as an array is copied with each point added to it.
+BLOCK = 256
 
 
 def keep_spaced(
@@ -86,14 +88,23 @@ def _fold(rows: DataFrame, keys: list[str], row_id: str, span: int) -> DataFrame
     """Runs of bounded size: one pass over the sorted instants of a run."""
     point = F.struct(F.col("_t"), F.col(row_id))
     runs = rows.groupBy(*keys, "_run").agg(F.array_sort(F.collect_list(point)).alias("_points"))
-    none = F.filter("_points", lambda p: F.lit(False))
+    kind = runs.schema["_points"].dataType.simpleString()
+    empty = lambda t: F.array().cast(t)
+    start = F.struct(
+        empty(f"array<{kind}>").alias("blocks"), empty(kind).alias("block"), F.lit(None).cast("bigint").alias("last")
+    )
 
     def step(kept, p):
-        last = F.try_element_at(kept, F.lit(-1))
-        free = last.isNull() | (p["_t"] - last["_t"] > span)
-        return F.when(free, F.concat(kept, F.array(p))).otherwise(kept)
-
-    kept = runs.select(*keys, F.explode(F.aggregate("_points", none, step)).alias("_p"))
+        full = F.size(kept["block"]) >= BLOCK
+        after = F.struct(
+            F.when(full, F.concat(kept["blocks"], F.array(kept["block"]))).otherwise(kept["blocks"]).alias("blocks"),
+            F.when(full, F.array(p)).otherwise(F.concat(kept["block"], F.array(p))).alias("block"),
+            p["_t"].alias("last"),
+        )
+        return F.when(kept["last"].isNull() | (p["_t"] - kept["last"] > span), after).otherwise(kept)
+
+    gather = lambda kept: F.concat(F.flatten(kept["blocks"]), kept["block"])
+    kept = runs.select(*keys, F.explode(F.aggregate("_points", start, step, gather)).alias("_p"))
     return kept.select(*keys, F.col("_p._t").alias("_t"), F.col(f"_p.{row_id}").alias(row_id))
 
 

@@ -64,3 +64,10 @@ def test_other_windows(rows):
     data = [(i, rng.choice("ab"), START + dt.timedelta(seconds=rng.randrange(3000))) for i in range(300)]
     for window in (1, 7, 61):
         assert run(rows, data, 5, window) == greedy(data, window)
+
+
+@pytest.mark.parametrize("limit", [4096, 0])
+def test_more_kept_points_than_a_block_holds(rows, limit):
+    # No pause restarts the run, and every second point is kept.
+    data = minutes(*[31 * i for i in range(1500)])
+    assert run(rows, data, limit) == greedy(data) and len(greedy(data)) == 750

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,7 @@ from omnibus.sources import files, tables
 from omnibus.sources.shared import fresh_folder
 from omnibus.streaming import observations as intake_stream
 from omnibus.streaming import positions as realtime
+from omnibus.streaming import spacing as spaced_stream
 
 CUTOFF = dt.date(2024, 1, 10)
 AS_OF = dt.datetime(2024, 1, 31)
@@ -484,10 +485,14 @@ def l5_late(a):
     schema, root, incoming = _scratch_schema(), fresh_folder(a.spark, "cycle"), fresh_folder(a.spark, "mixed")
     entity = F.explode("entity").alias("e")
     mixed = a.spark.read.schema(realtime.schemas.POSITION_SNAPSHOT).json(_snapshots(a)).select(entity)
-    # Copies of a ping share a file, so the copy to keep does not depend on the files' order.
-    mixed = mixed.repartition(4, "e.vehicle.vehicle_id", "e.vehicle.timestamp")
-    mixed.select(F.array("e").alias("entity")).write.json(incoming)
-    realtime.realtime_cycle(a.spark, incoming, root, schema, files_per_batch=1)
+    # Copies of a ping share a batch, so the copy to keep does not depend on the batches' order.
+    part = F.pmod(F.xxhash64("e.vehicle.vehicle_id", "e.vehicle.timestamp"), F.lit(4))
+    builder = realtime.SilverBuilder(a.spark, schema, f"{root}/silver")
+    for rows in _sliced(mixed, part, 4, f"{root}/slices"):
+        rows.select(F.array("e").alias("entity")).write.mode("append").json(incoming)
+        realtime.land(a.spark, incoming, f"{root}/bronze_positions", f"{root}/checkpoints/land")
+        realtime.build_silver(a.spark, f"{root}/bronze_positions", builder, f"{root}/checkpoints/silver")
+    realtime.realtime_cycle(a.spark, incoming, root, schema)
     rows = a.spark.table(f"{schema}.{loads.POSITIONS}")
     return rounded(rows.select("entity_id", "vehicle_id", "timestamp", "derived_speed_kmh", "ping_hour"), 3)
 
@@ -510,24 +515,45 @@ def o2(a):
     return kept.select("id", "qr_code_id", "anonymous_identifier")
 
 
+def _sliced(rows: DataFrame, by: Column, slices: int, folder: str) -> list[DataFrame]:
+    """The rows stored once, in slices by ``by`` (a number), each as many files as Spark writes."""
+    bounds = rows.agg(F.min(by).alias("low"), F.max(by).alias("high")).first()
+    step = 1 if bounds["low"] is None else (bounds["high"] - bounds["low"]) // slices + 1
+    at = F.coalesce(F.floor((by - F.lit(bounds["low"])) / step), F.lit(0)).cast("int")
+    rows.withColumn("_slice", at).write.partitionBy("_slice").parquet(folder)
+    stored = rows.sparkSession.read.schema(rows.withColumn("_slice", at).schema).parquet(folder)
+    return [stored.where(F.col("_slice") == k).drop("_slice") for k in range(slices)]
+
+
+def _submitted(a: Analogs) -> DataFrame:
+    return a.submissions().select(*[c.split()[0] for c in intake_stream.SUBMISSION.split(", ")])
+
+
 @query("o2_stream_intake")
 def o2_stream(a):
-    """The intake stream over all submissions, landed in four files that follow each other in time."""
+    """The intake stream over all submissions, landed in four slices that follow each other in time."""
     folder, schema = fresh_folder(a.spark, "intake"), _scratch_schema()
-    landed = a.submissions().select(*[c.split()[0] for c in intake_stream.SUBMISSION.split(", ")])
-    start = F.coalesce(F.unix_seconds("created_at"), F.lit(0))
-    bounds = landed.agg(F.min(start).alias("low"), F.max(start).alias("high")).first()
-    if bounds["low"] is None:
-        return obs.classify(landed, a.qr_codes()).select("id", "verdict")
-    step = (bounds["high"] - bounds["low"]) // 4 + 1
-    for part in range(4):
-        low = bounds["low"] + part * step
-        landed.where((start >= low) & (start < low + step)).coalesce(1).write.mode("append").parquet(f"{folder}/in")
     intake = intake_stream.Intake(a.spark, a.qr_codes(), f"{schema}.submissions", f"{folder}/out")
-    intake_stream.run_intake(a.spark, f"{folder}/in", intake, f"{folder}/checkpoint", files_per_batch=1)
+    for part in _sliced(_submitted(a), F.unix_seconds("created_at"), 4, f"{folder}/slices"):
+        part.write.mode("append").parquet(f"{folder}/in")
+        intake_stream.run_intake(a.spark, f"{folder}/in", intake, f"{folder}/checkpoint")
     return intake.classified(a.spark).select("id", "verdict")
 
 
+@query("o2_stream_out_of_order")
+def o2_out_of_order(a):
+    """The keyed stream over all submissions, each up to half a day late, in three slices by arrival."""
+    folder = fresh_folder(a.spark, "spaced")
+    late = F.pmod(F.col("id") * 7919, F.lit(43_200))
+    parts = _sliced(_submitted(a), F.unix_seconds("created_at") + late, 3, f"{folder}/slices")
+    last = F.timestamp_seconds(F.lit(_submitted(a).agg(F.max(F.unix_seconds("created_at"))).first()[0] or 0))
+    end = spaced_stream.heartbeat(a.spark, last + F.make_dt_interval(days=F.lit(10)))
+    for part in (*parts, end):
+        part.write.mode("append").parquet(f"{folder}/in")
+        spaced_stream.run_spaced_intake(a.spark, f"{folder}/in", a.qr_codes(), f"{folder}/out", f"{folder}/checkpoint")
+    return a.spark.read.schema(spaced_stream.VERDICTS).parquet(f"{folder}/out").select("id", "verdict")
+
+
 @query("o3_enrich")
 def o3(a):
     accepted = obs.accept(obs.classify(a.submissions(), a.qr_codes()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from omnibus import schemas
@@ -14,7 +14,7 @@ from omnibus.operators.dedupe import keep_last
 from omnibus.operators.upsert import upsert
 from omnibus.plans import silver
 from omnibus.plans.gold import GOLD_VIEWS
-from omnibus.sources import tables
+from omnibus.sources import tables, versioned
 from omnibus.sources.shared import cut
 
 STAR = {
@@ -30,6 +30,10 @@ POSITIONS = "fact_vehicle_positions"
 POSITION_PARTITIONS = ("ingest_day", "ping_date")
 OBSERVATIONS = "bronze_observations"
 OBSERVATION_DAY = "created_day"
+OBSERVATION_INDEX = "bronze_observation_days"
+ID_BUCKET = "id_bucket"
+#: Buckets of the index; fixed when the table is made.
+ID_BUCKETS = 64
 _CORRECTED = "corrected_to"
 
 
@@ -58,10 +62,8 @@ def watermark(spark: SparkSession, name: str) -> dt.datetime | None:
 
     Only the partition of the newest ingestion day is read.
     """
-    day = F.regexp_extract("partition", "ingest_day=([0-9-]{10})", 1)
-    stored = spark.sql(f"SHOW PARTITIONS {tables.stored_in(spark, name)}")
-    newest = stored.agg(F.max(day).alias("day")).first()["day"]
-    if not newest:
+    newest = versioned.newest_day(spark, name, "ingest_day")
+    if newest is None:
         return None
     last = spark.table(name).where(F.col("ingest_day") == F.lit(dt.date.fromisoformat(newest)))
     return last.agg(F.max(clock.ingest_second(F.col("ingested_at"))).alias("w")).first()["w"]
@@ -91,38 +93,35 @@ def load_positions(
     """
     name = f"{schema}.{POSITIONS}"
     if full_reload or not tables.exists(spark, name):
-        tables.publish(position_rows(source), name, root, POSITION_PARTITIONS)
+        versioned.publish(position_rows(source), name, root, POSITION_PARTITIONS)
     else:
-        tables.append(pending_positions(spark, source, schema), name, POSITION_PARTITIONS)
+        versioned.append(pending_positions(spark, source, schema), name)
 
 
-def in_partitions(touched: list[Row]) -> Column:
+def in_partitions(touched: set[versioned.Part]) -> Column:
     """Rows in one of the given partitions of a pings table, NULL dates included."""
 
     def same(column: str, days: int | None) -> Column:
         day = F.lit(None).cast("date") if days is None else F.date_from_unix_date(F.lit(days))
         return F.col(column).eqNullSafe(day)
 
-    hits = [reduce(Column.__and__, [same(c, row[c]) for c in POSITION_PARTITIONS]) for row in touched]
+    hits = [reduce(Column.__and__, map(same, POSITION_PARTITIONS, part)) for part in touched]
     return reduce(Column.__or__, hits, F.lit(False))
 
 
 def correct_speeds(spark: SparkSession, name: str, corrected: DataFrame) -> None:
-    """Write corrected speeds into a pings table; only the partitions they fall into are rewritten.
+    """Write corrected speeds into a pings table; the partitions they fall into are rewritten and switched at once.
 
     ``corrected`` has one row per ping: the keys, the partition columns, the speed.
     """
-    days = [F.unix_date(c).alias(c) for c in POSITION_PARTITIONS]
-    touched = corrected.select(*days).distinct().collect()  # pairs of calendar days
+    touched = versioned.parts_of(corrected, POSITION_PARTITIONS)  # pairs of calendar days
     if not touched:
         return
     keys = ["vehicle_id", "timestamp"]
     speeds = corrected.select(*keys, F.col("derived_speed_kmh").alias("_speed"), F.lit(True).alias("_hit"))
     rows = tables.read(spark, name).where(in_partitions(touched)).join(speeds, keys, "left")
     speed = F.when(F.col("_hit"), F.col("_speed")).otherwise(F.col("derived_speed_kmh"))
-    tables.replace_partitions(
-        rows.withColumn("derived_speed_kmh", speed).drop("_speed", "_hit"), name, POSITION_PARTITIONS
-    )
+    versioned.replace(rows.withColumn("derived_speed_kmh", speed).drop("_speed", "_hit"), name, touched)
 
 
 def correct_positions(spark: SparkSession, corrections: DataFrame, schema: str) -> None:
@@ -134,8 +133,7 @@ def correct_positions(spark: SparkSession, corrections: DataFrame, schema: str)
     if last is None:
         return
     newest = keep_last(pending, ["vehicle_id", "timestamp"], ["batch_id"])
-    correct_speeds(spark, tables.stored_in(spark, name), newest)
-    spark.catalog.refreshTable(name)
+    correct_speeds(spark, name, newest)
     tables.set_mark(spark, name, _CORRECTED, last)
 
 
@@ -146,30 +144,47 @@ def materialize_gold(model: dict[str, DataFrame], schema: str, root: str) -> Non
 
 
 def load_observations(
-    spark: SparkSession, raw: DataFrame, schema: str, root: str, id_type: str = "bigint"
+    spark: SparkSession, raw: DataFrame, schema: str, root: str, id_type: str = "bigint", id_buckets: int = ID_BUCKETS
 ) -> None:
     """First run creates the table, later runs update by id.
 
-    The table is partitioned by creation day.  An update finds the days of the
-    rows it replaces by reading ids alone, and rewrites those days and its own.
-    A run that broke off can be repeated.
+    The table is partitioned by creation day.  Beside it stands an index from id
+    to day, partitioned by a hash of the id.  An update reads the index buckets of
+    its own ids, the days these name and its own, and switches those days at once.
+
+    The index may name a day too many and never one too few: an update first adds
+    its pairs, then switches the days, then takes old pairs out.  So a run that
+    broke off anywhere leaves both tables right, and can be repeated.
     """
-    name = f"{schema}.{OBSERVATIONS}"
-    rows = silver.typed_observations(raw, id_type=id_type)
-    rows = rows.withColumn(OBSERVATION_DAY, F.to_date("created_at"))
+    name, index = f"{schema}.{OBSERVATIONS}", f"{schema}.{OBSERVATION_INDEX}"
+    rows = silver.typed_observations(raw, id_type=id_type).withColumn(OBSERVATION_DAY, F.to_date("created_at"))
     if not tables.exists(spark, name):
-        tables.publish(rows, name, root, (OBSERVATION_DAY,))
+        rows = cut(rows)
+        versioned.publish(_days_by_id(rows, id_buckets), index, root, (ID_BUCKET,))
+        versioned.publish(rows, name, root, (OBSERVATION_DAY,))
         return
-    stored, source = tables.stored_in(spark, name), cut(rows)
-    target = tables.read(spark, stored)
-    replaced = target.join(source.select("id"), "id", "left_semi").select(OBSERVATION_DAY)
-    touched = _days_of(replaced.unionByName(source.select(OBSERVATION_DAY)))
-    merged = cut(upsert(target.where(tables.on_days(OBSERVATION_DAY, touched)), source, "id"))
-    tables.drop_days(spark, stored, OBSERVATION_DAY, touched - _days_of(merged))
-    tables.replace_partitions(merged, stored, (OBSERVATION_DAY,))
-    spark.catalog.refreshTable(name)
-
-
-def _days_of(rows: DataFrame) -> set[int | None]:
-    days = rows.select(F.unix_date(OBSERVATION_DAY).alias("d")).distinct()
-    return {r["d"] for r in days.collect()}  # calendar days
+    source = cut(rows)
+    pairs = cut(_days_by_id(source, id_buckets))
+    known = index_rows(spark, index, pairs)
+    own = pairs.select("id").distinct()
+    touched = versioned.parts_of(
+        known.join(own, "id", "left_semi").select(OBSERVATION_DAY).unionByName(source.select(OBSERVATION_DAY)), (OBSERVATION_DAY,)
+    )
+    days = {part[0] for part in touched}
+    merged = upsert(tables.read(spark, name).where(tables.on_days(OBSERVATION_DAY, days)), source, "id")
+    versioned.append(pairs, index)
+    versioned.replace(merged, name, touched)
+    buckets = versioned.parts_of(pairs, (ID_BUCKET,))
+    versioned.replace(known.join(own, "id", "left_anti").unionByName(pairs), index, buckets)
+
+
+def _days_by_id(rows: DataFrame, id_buckets: int) -> DataFrame:
+    """(id, day, bucket) of the rows that an update may find by id."""
+    bucket = F.pmod(F.xxhash64("id"), F.lit(id_buckets)).cast("int").alias(ID_BUCKET)
+    return rows.where(F.col("id").isNotNull()).select("id", OBSERVATION_DAY, bucket)
+
+
+def index_rows(spark: SparkSession, index: str, pairs: DataFrame) -> DataFrame:
+    """The index buckets that the ids of ``pairs`` fall into, each pair once."""
+    buckets = [part[0] for part in versioned.parts_of(pairs, (ID_BUCKET,))]  # one a bucket
+    return tables.read(spark, index).where(F.col(ID_BUCKET).isin(*buckets) if buckets else F.lit(False)).distinct()

@@ -741,6 +741,7 @@ ORACLES["o1_classify"] = _with_inputs(
     _PENDING + _spaced("pending"),
 )
 ORACLES["o2_stream_intake"] = ORACLES["o1_classify"]
+ORACLES["o2_stream_out_of_order"] = ORACLES["o1_classify"]
 ORACLES["l1_access_reload"] = ORACLES["m4_rls_access_table"]
 ORACLES["l5_late_cycle"] = ORACLES["l5_realtime_cycle"]
 ORACLES["g4_from_stored_silver"] = ORACLES["g4_vehicle_activity"]

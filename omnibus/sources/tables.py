@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 
 from omnibus.sources.shared import cut
 
-_STORED = "stored_in"
-_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+STORED = "stored_in"
 
 
 def exists(spark: SparkSession, name: str) -> bool:
@@ -29,7 +28,7 @@ def exists(spark: SparkSession, name: str) -> bool:
 
 def stored_in(spark: SparkSession, name: str) -> str:
     """The stored version that the name shows."""
-    return spark.sql(f"SHOW TBLPROPERTIES {name} ('{_STORED}')").first()["value"]
+    return spark.sql(f"SHOW TBLPROPERTIES {name} ('{STORED}')").first()["value"]
 
 
 def on_days(column: str, days: set[int | None]) -> Column:
@@ -39,16 +38,6 @@ def on_days(column: str, days: set[int | None]) -> Column:
     return hit | F.col(column).isNull() if None in days else hit
 
 
-def drop_days(spark: SparkSession, name: str, column: str, days: set[int | None]) -> None:
-    """Take whole day partitions out of a stored table; their files stay."""
-    for day in days:
-        value = "NULL" if day is None else f"DATE_FROM_UNIX_DATE({day})"
-        text = spark.sql(f"SELECT CAST({value} AS STRING) AS d").first()["d"]
-        shown = "NULL" if text is None else f"DATE'{text}'"
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = {shown})")
-    spark.catalog.refreshTable(name)
-
-
 def mark_of(spark: SparkSession, name: str, mark: str) -> str | None:
     """A mark set on the stored version in use; a new version has none."""
     found = spark.sql(f"SHOW TBLPROPERTIES {stored_in(spark, name)}").where(F.col("key") == mark).first()
@@ -62,11 +51,11 @@ def set_mark(spark: SparkSession, name: str, mark: str, value: object) -> None:
 def publish(df: DataFrame, name: str, root: str, partition_by: tuple[str, ...] = ()) -> None:
     """Create the table, or replace all its rows."""
     spark, root = df.sparkSession, root.rstrip("/")
-    _ensure_schema(spark, name, root)
+    ensure_schema(spark, name, root)
     before = stored_in(spark, name) if exists(spark, name) else None
     version = f"{name}_{uuid.uuid4().hex}"
     _writer(df, partition_by).option("path", f"{root}/{version.replace('.', '/')}").saveAsTable(version)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_STORED}' = '{version}') AS SELECT * FROM {version}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{STORED}' = '{version}') AS SELECT * FROM {version}")
     if before:
         spark.sql(f"DROP TABLE {before}")  # external: the files stay
 
@@ -80,7 +69,7 @@ def append(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None
 def ensure(spark: SparkSession, name: str, ddl: str, partition_by: tuple[str, ...], root: str) -> None:
     """Create an empty partitioned table, if it is not there."""
     root = root.rstrip("/")
-    _ensure_schema(spark, name, root)
+    ensure_schema(spark, name, root)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet PARTITIONED BY ({', '.join(partition_by)}) "
         f"LOCATION '{root}/{name.replace('.', '/')}'"
@@ -100,22 +89,6 @@ def insert(df: DataFrame, name: str, partition_by: tuple[str, ...]) -> None:
     spark.catalog.refreshTable(name)
 
 
-def replace_partitions(df: DataFrame, name: str, partition_by: tuple[str, ...]) -> None:
-    """Store the rows as the whole content of the partitions they fall into; others stay untouched.
-
-    The rows are cut from their inputs first, as they usually include the table.
-    """
-    spark, df = df.sparkSession, cut(df)
-    rows = df.select(*spark.table(name).columns).hint("rebalance", *partition_by)
-    before = spark.conf.get(_OVERWRITE)
-    spark.conf.set(_OVERWRITE, "dynamic")
-    try:
-        rows.write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(_OVERWRITE, before)
-    spark.catalog.refreshTable(name)
-
-
 def write_batch(df: DataFrame, name: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
     """Store one batch; a replay replaces what the same batch wrote before.
 
@@ -134,7 +107,7 @@ def read(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def _ensure_schema(spark: SparkSession, name: str, root: str) -> None:
+def ensure_schema(spark: SparkSession, name: str, root: str) -> None:
     if "." in name:
         schema = name.rsplit(".", 1)[0]
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{root}/{schema}.db'")

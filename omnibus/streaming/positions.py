@@ -18,7 +18,7 @@ from omnibus.operators.quality import QualityGateFailed, gate
 from omnibus.operators.skew import rekeyed
 from omnibus.plans import checks, loads, silver
 from omnibus.session import prepare
-from omnibus.sources import tables
+from omnibus.sources import tables, versioned
 from omnibus.sources.shared import cut
 
 
@@ -88,8 +88,8 @@ class SilverBuilder:
             "vehicle_id string, timestamp string, derived_speed_kmh double, ingest_day date, ping_date date, "
             "batch_id bigint"
         )
-        tables.ensure(spark, self.positions, stored, loads.POSITION_PARTITIONS, root)
-        tables.ensure(spark, self.day_ends, ends, ("utc_day",), root)
+        versioned.ensure(spark, self.positions, stored, loads.POSITION_PARTITIONS, root)
+        versioned.ensure(spark, self.day_ends, ends, ("utc_day",), root)
         tables.ensure(spark, self.corrections, fixes, ("batch_id",), root)
 
     def silver(self, spark: SparkSession) -> DataFrame:
@@ -124,7 +124,7 @@ class SilverBuilder:
         self._correct(spark, linked, batch_id)
         self._extend_days(spark, fresh, days)
         rows = linked.where("_role = 'new'").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        tables.insert(rows, self.positions, loads.POSITION_PARTITIONS)
+        versioned.append(rows, self.positions)
 
     def _beside(self, spark: SparkSession, fresh: DataFrame, days: set[int]) -> list[DataFrame]:
         """Stored pings that may come right before or after a new one, with what they may become."""
@@ -162,7 +162,7 @@ class SilverBuilder:
         ends = both.groupBy("vehicle_id", "utc_day").agg(
             F.min("first_ping").alias("first_ping"), F.max("last_ping").alias("last_ping")
         )
-        tables.replace_partitions(ends, self.day_ends, ("utc_day",))
+        versioned.replace(ends, self.day_ends, {(d,) for d in days})
 
 
 def _dated(pings: DataFrame) -> DataFrame:

@@ -1,0 +1,186 @@
+import datetime as dt
+
+import pytest
+from helpers import as_set
+from pyspark.sql import functions as F
+
+from omnibus import params
+from omnibus.plans import loads
+from omnibus.sources import tables, versioned
+
+
+class Lost(Exception):
+    """The writer is gone."""
+
+
+def lose(monkeypatch, step, call=1):
+    """The writer is lost where it takes the step for the given time."""
+    whole, calls = getattr(versioned, step), []
+
+    def gone(*args):
+        calls.append(1)
+        if len(calls) == call:
+            raise Lost
+        return whole(*args)
+
+    monkeypatch.setattr(versioned, step, gone)
+
+
+def day(n):
+    return dt.date(2024, 1, 1) + dt.timedelta(days=n)
+
+
+def number(n):
+    return (day(n) - dt.date(1970, 1, 1)).days
+
+
+@pytest.fixture
+def table(spark, rows, tmp_path, request):
+    name = f"v_{abs(hash(request.node.name))}.t"
+    start = [(1, "a", day(1)), (2, "a", day(2)), (3, "a", day(3)), (4, "a", None)]
+    versioned.publish(rows(start, "id int, x string, d date"), name, str(tmp_path), ("d",))
+    return name
+
+
+def new(rows, *data):
+    return rows(list(data), "id int, x string, d date")
+
+
+def test_partitions_are_replaced_and_others_stay(spark, rows, table):
+    assert spark.table(table).columns == ["id", "x", "d"]
+    versioned.replace(new(rows, (2, "b", day(2)), (4, "b", None)), table, {(number(2),), (number(3),), (None,)})
+    assert as_set(spark.table(table), "id", "x") == {(1, "a"), (2, "b"), (4, "b")}
+    versioned.append(new(rows, (5, "c", day(2)), (6, "c", day(9))), table)
+    assert as_set(spark.table(table), "id", "x") == {(1, "a"), (2, "b"), (4, "b"), (5, "c"), (6, "c")}
+    versioned.replace(new(rows, (5, "d", day(2))), table, {(number(2),)})
+    assert as_set(spark.table(table), "id", "x") == {(1, "a"), (4, "b"), (5, "d"), (6, "c")}
+    # Old versions have left the catalog.
+    assert len(versioned._partitions(spark, table)) == 4
+
+
+def test_a_writer_lost_before_the_switch_changes_nothing(spark, rows, table, monkeypatch):
+    before = as_set(spark.table(table))
+    change = new(rows, (2, "b", day(2)), (3, "b", day(3))), table, {(number(2),), (number(3),)}
+    with monkeypatch.context() as m:
+        lose(m, "_switch")
+        with pytest.raises(Lost):
+            versioned.replace(*change)
+        assert as_set(tables.read(spark, table)) == before
+        # Another writer appends meanwhile, and what the lost one wrote stays unseen.
+        versioned.append(new(rows, (7, "e", day(3))), table)
+        assert as_set(tables.read(spark, table)) == before | {(7, "e", day(3))}
+    versioned.replace(*change)
+    assert as_set(tables.read(spark, table), "id", "x") == {(1, "a"), (2, "b"), (3, "b"), (4, "a")}
+    versioned.replace(new(rows, (1, "z", day(1))), table, {(number(1),)})
+    assert as_set(tables.read(spark, table), "id", "x") == {(1, "z"), (2, "b"), (3, "b"), (4, "a")}
+
+
+def test_a_writer_lost_after_the_switch_has_changed_all(spark, rows, table, monkeypatch):
+    with monkeypatch.context() as m:
+        lose(m, "_drop", call=2)  # the first one comes before the write
+        with pytest.raises(Lost):
+            versioned.replace(new(rows, (2, "b", day(2))), table, {(number(2),), (None,)})
+    after = {(1, "a", day(1)), (2, "b", day(2)), (3, "a", day(3))}
+    assert as_set(tables.read(spark, table)) == after
+    versioned.append(new(rows, (8, "f", None)), table)
+    assert as_set(tables.read(spark, table)) == after | {(8, "f", None)}
+    assert len(versioned._partitions(spark, table)) == 4
+
+
+def test_readers_see_one_version(spark, rows, table):
+    held = spark.table(table)
+    held.collect()
+    versioned.replace(new(rows, (1, "b", day(1))), table, {(number(1),)})
+    # The reader's files are still there.
+    assert as_set(held, "x") == {("a",)}
+    assert as_set(spark.table(table), "x") == {("a",), ("b",)}
+
+
+def test_days_and_versions_prune(spark, rows, table):
+    versioned.replace(new(rows, (2, "b", day(2))), table, {(number(2),)})
+    one = spark.table(table).where(F.col("d") == F.lit(day(2)))
+    assert one.count() == 1 and len(one.inputFiles()) == 1
+    assert versioned.newest_day(spark, table, "d") == str(day(3))
+
+
+def observation(i, created, text="x"):
+    return (str(i), "r", "b", params.PROBLEM_TYPES[0], "HIGH", "NEW", text, "28.5", "77.0", created, created)
+
+
+OBS = (
+    "id string, route_id string, bus_number string, problem_type string, severity string, status string, "
+    "description string, latitude string, longitude string, observed_at string, created_at string"
+)
+
+
+def days_seen(spark, schema):
+    return as_set(spark.table(f"{schema}.{loads.OBSERVATIONS}"), "id", "description", loads.OBSERVATION_DAY)
+
+
+def test_a_merge_reads_only_the_buckets_and_days_of_its_ids(spark, rows, tmp_path, monkeypatch):
+    start = [observation(i, f"2024-01-{1 + i % 20:02d}T10:00:00") for i in range(200)]
+    loads.load_observations(spark, rows(start, OBS), "idx", str(tmp_path))
+    name, index = f"idx.{loads.OBSERVATIONS}", f"idx.{loads.OBSERVATION_INDEX}"
+    pairs = loads._days_by_id(spark.createDataFrame([(7, day(4))], f"id bigint, {loads.OBSERVATION_DAY} date"), loads.ID_BUCKETS)
+    read = loads.index_rows(spark, index, pairs)
+    buckets = {p.split(loads.ID_BUCKET + "=")[1].split("/")[0] for p in read.inputFiles()}
+    assert buckets == {str(pairs.first()[loads.ID_BUCKET])} and 0 < read.count() < 30
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and f"{loads.ID_BUCKET}#" in plan.split("PartitionFilters")[1].split("]")[0]
+    # Files of other days stay as they are.
+    before = set(spark.table(name).inputFiles())
+    loads.load_observations(spark, rows([observation(7, "2024-01-25T10:00:00", "moved")], OBS), "idx", str(tmp_path))
+    after = set(tables.read(spark, name).inputFiles())
+    assert len(before - after) == 1 and len(after - before) == 2
+    assert {r for r in days_seen(spark, "idx") if r[0] == 7} == {(7, "moved", day(24))}
+    assert spark.table(name).count() == 200
+    assert as_set(tables.read(spark, index).where("id = 7"), loads.OBSERVATION_DAY) == {(day(24),)}
+
+
+@pytest.mark.parametrize("lost_at", [1, 2, 3, 4, 5])
+def test_a_merge_lost_anywhere_leaves_old_or_new_rows_and_can_be_repeated(spark, rows, tmp_path, monkeypatch, lost_at):
+    schema = f"lost{lost_at}"
+    start = [observation(i, f"2024-01-{1 + i % 5:02d}T10:00:00") for i in range(30)]
+    loads.load_observations(spark, rows(start, OBS), schema, str(tmp_path), id_buckets=4)
+    change = [observation(3, "2024-02-01T10:00:00", "new"), observation(4, "2024-01-02T11:00:00", "new"), observation(99, "2024-01-01T10:00:00", "new")]
+    before = days_seen(spark, schema)
+    steps = []
+    with monkeypatch.context() as m:
+        for step in ("_insert", "_switch"):
+            whole = getattr(versioned, step)
+
+            def counted(*args, whole=whole):
+                steps.append(1)
+                if len(steps) == lost_at:
+                    raise Lost
+                return whole(*args)
+
+            m.setattr(versioned, step, counted)
+        with pytest.raises(Lost):
+            loads.load_observations(spark, rows(change, OBS), schema, str(tmp_path), id_buckets=4)
+    tables.read(spark, f"{schema}.{loads.OBSERVATIONS}")
+    want = {r for r in before if r[0] not in (3, 4)} | {(3, "new", dt.date(2024, 2, 1)), (4, "new", day(1)), (99, "new", day(0))}
+    # Steps: pairs added, days written, days switched, index written, index switched.
+    assert days_seen(spark, schema) == (before if lost_at <= 3 else want)
+    # Another merge that moves one of the same ids finds it wherever it is.
+    again = [observation(3, "2024-03-01T10:00:00", "newer")]
+    loads.load_observations(spark, rows(again, OBS), schema, str(tmp_path), id_buckets=4)
+    moved = {r for r in days_seen(spark, schema) if r[0] == 3}
+    assert moved == {(3, "newer", dt.date(2024, 3, 1))}
+    loads.load_observations(spark, rows(change, OBS), schema, str(tmp_path), id_buckets=4)
+    assert days_seen(spark, schema) == want
+
+
+def test_speeds_lost_before_the_switch_stay_old(spark, rows, tmp_path, monkeypatch):
+    kinds = "vehicle_id string, timestamp string, derived_speed_kmh double, ingest_day date, ping_date date"
+    versioned.publish(
+        rows([("v", "t1", 1.0, day(1), day(1)), ("v", "t2", 2.0, day(1), day(2))], kinds), "sp.p", str(tmp_path), loads.POSITION_PARTITIONS
+    )
+    fix = rows([("v", "t2", 9.0, day(1), day(2)), ("v", "t1", None, day(1), day(1))], kinds)
+    with monkeypatch.context() as m:
+        lose(m, "_switch")
+        with pytest.raises(Lost):
+            loads.correct_speeds(spark, "sp.p", fix)
+    assert as_set(tables.read(spark, "sp.p"), "timestamp", "derived_speed_kmh") == {("t1", 1.0), ("t2", 2.0)}
+    loads.correct_speeds(spark, "sp.p", fix)
+    assert as_set(tables.read(spark, "sp.p"), "timestamp", "derived_speed_kmh") == {("t1", None), ("t2", 9.0)}

@@ -1,5 +1,7 @@
+import gzip
 import hashlib
 import io
+import json
 import zipfile
 
 import pytest
@@ -79,8 +81,67 @@ def test_broken_archives_are_refused(data):
 
 
 def test_damaged_payload_is_noticed():
-    import gzip
-
     record = warc._record({"page_id": 1, "url": "u", "refers_to": None, "payload": "abc", "digest": "0" * 64, "bytes": 3})
-    with pytest.raises(zip_reader.BadArchive, match="damaged"):
-        warc.parse(gzip.compress(record))
+    for member in (record, gzip.compress(record)):
+        with pytest.raises(zip_reader.BadArchive, match="damaged"):
+            warc.parse(member)
+
+
+def test_index_lines_and_record_ids(spark, tmp_path):
+    rows = [(1, "http://www.a.example:80/x y?q=1#f", "z" * 200), (1, "https://b.example", "z" * 200), (2, None, "z" * 200), (3, "http://A.example/é", "")]
+    df = spark.createDataFrame([(*r, None, None, None) for r in rows], PAGE).coalesce(1)
+    path = warc.write(df, str(tmp_path / "w")).first()["path"]
+    with zipfile.ZipFile(path) as z:
+        lines = z.read("indexes/index.cdxj").decode().splitlines()
+        records = [gzip.decompress(z.read("archive/data.warc.gz")[int(e["offset"]):][: int(e["length"])]) for e in (json.loads(x.split(" ", 2)[2]) for x in lines)]
+    assert lines == sorted(lines)
+    assert [x.split(" ")[:2] for x in lines] == [
+        [k, "19700101000000"] for k in ("example,a)/%C3%A9", "example,a,www:80)/x%20y?q=1", "example,b)/", "urn:none")
+    ]
+    assert all(json.loads(x.split(" ", 2)[2])["filename"] == "data.warc.gz" for x in lines)
+    # Two responses share a page_id, and no two records an id.
+    ids = [warc._headers(r)[0]["warc-record-id"] for r in records]
+    assert len(set(ids)) == 4 and [warc._headers(r)[0]["warc-type"] for r in records].count("revisit") == 1
+
+
+def response(payload, kind="response", digest=True, more=""):
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + payload
+    named = f"WARC-Payload-Digest: sha256:{hashlib.sha256(payload).hexdigest().upper()}\r\n" if digest else ""
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:1>\r\n{named}{more}Content-Length: {len(http)}\r\n\r\n"
+    return head.encode() + http + b"\r\n\r\n"
+
+
+def foreign(path, packed_index, method=zipfile.ZIP_STORED, name="two.warc"):
+    """A package as others make it: two archives, one plain; two indexes, one named after nothing in particular."""
+    one, two = [gzip.compress(response(b"first" * 9)), gzip.compress(response(b"info", "warcinfo")), gzip.compress(response(b"second", digest=False))], [
+        response(b"third \xff\xfe"), response(b"fourth")]
+    line = lambda n, file, at, size: f'example,x)/{n} 20240102030405 {{"url": "http://x/{n}", "offset": {at}, "length": "{size}", "filename": "{file}"}}\n'
+    first = "!meta {}\n" + "".join(line(i, "rec-1.warc.gz", sum(map(len, one[:i])), len(x)) for i, x in enumerate(one))
+    second = "".join(line(i, name, sum(map(len, two[:i])), len(x)) for i, x in enumerate(two)) * 2
+    with zipfile.ZipFile(path, "w", method) as z:
+        z.writestr("pages/pages.jsonl", "{}")
+        z.writestr("archive/rec-1.warc.gz", b"".join(one))
+        z.writestr("indexes/index.cdx", first)
+        z.writestr("archive/two.warc", b"".join(two))
+        z.writestr("indexes/more.cdxj.gz" if packed_index else "indexes/more.cdxj", gzip.compress(second.encode()) if packed_index else second)
+        z.writestr("indexes/index.idx", "not an index of records")
+
+
+@pytest.mark.parametrize("packed_index", [False, True])
+def test_foreign_package_of_several_archives(spark, tmp_path, packed_index):
+    path = str(tmp_path / "made.wacz")
+    foreign(path, packed_index)
+    got = warc.read(spark.createDataFrame([(path, 1, 5)], warc.MANIFEST)).collect()
+    payloads = [b"first" * 9, b"second", b"third \xff\xfe", b"fourth"]
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type) for r in got) == sorted(
+        (None, len(p), hashlib.sha256(p).hexdigest(), "response") for p in payloads
+    )
+
+
+def test_packages_that_cannot_be_read_are_refused(tmp_path):
+    foreign(str(tmp_path / "a"), False, zipfile.ZIP_DEFLATED)
+    with pytest.raises(zip_reader.BadArchive, match="compressed"):
+        warc.locate(str(tmp_path / "a"))
+    foreign(str(tmp_path / "b"), False, name="three.warc")
+    with pytest.raises(zip_reader.BadArchive, match="three.warc"):
+        warc.locate(str(tmp_path / "b"))

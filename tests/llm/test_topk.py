@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from omnibus.llm import topk
@@ -38,6 +39,33 @@ def test_equals_brute_force(spark, monkeypatch, block):
     assert len(run(spark, rows)) == 15 * 20
 
 
+def test_blocks_below_the_cutoff_leave_no_row():
+    rng = np.random.default_rng(4)
+    q, near, far = rng.integers(-50, 50, (6, 8)), rng.integers(-50, 50, (40, 8)), rng.integers(-2, 3, (40, 8))
+    cutoff = np.sort(q @ near.T, axis=1)[:, -3]
+    for c in (near, far, np.vstack([near, far])):
+        row = {"q_ids": np.arange(6).tobytes(), "q_data": q.tobytes(), "c_ids": np.arange(100, 100 + len(c)).tobytes(),
+               "c_data": c.tobytes(), "extra": cutoff.tobytes()}
+        for kind in ("float64", "int64", "object"):
+            got = sorted(zip(*(x.tolist() for x in topk._resolve_block(row, 3, 8, kind))))
+            score = q @ c.T
+            want = []
+            for i in range(6):
+                best = sorted((-s, j) for j, s in enumerate(score[i].tolist()) if s >= cutoff[i])[:3]
+                want += [(i, 100 + j, -s) for s, j in best]
+            assert got == sorted(want)
+
+
+@pytest.mark.parametrize("spread", [0.05, 1.0])
+def test_many_slots(spark, monkeypatch, spread):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 8)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    rng = random.Random(11)
+    # Most vectors are short, so that most blocks cannot reach the cutoff.
+    rows = [(i, [rng.gauss(0, 3 if i % 40 < 3 else spread) for _ in range(8)]) for i in range(400)]
+    run(spark, rows, k=4)
+
+
 def test_negative_scores_and_ties(spark):
     rows = [(0, [1.0] * 8)] + [(i, [-1.0 - i % 3] * 8) for i in range(1, 80)]
     run(spark, rows, k=7)

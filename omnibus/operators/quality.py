@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from omnibus.operators.access import RELATIONSHIPS
@@ -12,7 +12,30 @@ from omnibus.operators.dedupe import repeated_keys
 
 
 class QualityGateFailed(RuntimeError):
-    pass
+    """``violations`` has the number of rows that break each check."""
+
+    def __init__(self, violations: dict[str, int]):
+        super().__init__(", ".join(f"{check}: {n}" for check, n in violations.items()))
+        self.violations = violations
+
+
+class Watch:
+    """Row-level checks counted by whatever job reads ``rows``, without a scan of their own."""
+
+    def __init__(self, df: DataFrame, rules: dict[str, Column] | None):
+        self._names, self._seen, self.rows = list(rules or ()), None, df
+        if rules:
+            self._seen = Observation()
+            self.rows = df.observe(self._seen, *[F.count_if(bad).alias(f"c{i}") for i, bad in enumerate(rules.values())])
+
+    def counts(self) -> dict[str, int]:
+        """Violating rows of each check, once a job has read the rows."""
+        return {name: self._seen.get[f"c{i}"] for i, name in enumerate(self._names)}
+
+    def check(self) -> None:
+        """Stop what would follow the job if any check found violations."""
+        if found := {name: n for name, n in self.counts().items() if n}:
+            raise QualityGateFailed(found)
 
 
 def count_rows(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
@@ -67,4 +90,4 @@ def gate(results: DataFrame, warn_only: str = "orphan") -> None:
     failed = results.where((F.col("violations") > 0) & ~F.startswith("check", F.lit(warn_only)))
     found = failed.collect()  # one row per check
     if found:
-        raise QualityGateFailed(", ".join(f"{r['check']}: {r['violations']}" for r in found))
+        raise QualityGateFailed({r["check"]: r["violations"] for r in found})

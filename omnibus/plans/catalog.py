@@ -664,6 +664,22 @@ def q2_faulty(a):
     return checks.ping_rules(a.faulty_star()["fact_vehicle_positions"])
 
 
+@query("q2_gate_in_the_write")
+def q2_write(a):
+    """What the load of pings that break the row-level checks counts, and is stopped by before it shows a row."""
+    schema, root = _scratch_schema(), fresh_folder(a.spark, "gated")
+    pings = silver.with_wall_clock(a.faulty_star()["fact_vehicle_positions"])
+    rules, found = checks.ping_row_rules(), {}
+    try:
+        loads.load_positions(a.spark, pings, schema, root, rules=rules)
+    except checks.q.QualityGateFailed as failed:
+        found = failed.violations
+        if tables.exists(a.spark, f"{schema}.{loads.POSITIONS}"):
+            raise
+    rows = [F.struct(F.lit(n).alias("check"), F.lit(found.get(n, 0)).cast("bigint").alias("violations")) for n in rules]
+    return a.spark.range(1).select(F.inline(F.array(*rows)))
+
+
 @query("q3_not_null")
 def q3(a):
     return checks.not_null(a.star())

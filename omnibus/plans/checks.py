@@ -63,6 +63,16 @@ def _count(model: dict[str, DataFrame], *groups: Rules, only: set[str] | None =
     return [q.count_rows(model[table], checks) for table, checks in merged.items()]
 
 
+def row_rules(table: str) -> dict[str, Column]:
+    """The row-level checks of a star table, to be counted while it is written."""
+    return {name: bad for rules in (_null_rules(), _domain_rules()) for name, bad in rules.get(table, {}).items()}
+
+
+def ping_row_rules(lat_range=params.BOX_LAT, lon_range=params.BOX_LON) -> dict[str, Column]:
+    """Speed bound and box of new pings."""
+    return _speed_rules()[PINGS] | _box_rules(lat_range, lon_range)[PINGS]
+
+
 def speed_bound(positions: DataFrame) -> DataFrame:
     return q.together(_count({PINGS: positions}, _speed_rules()))
 
@@ -83,18 +93,18 @@ def orphan_facts(model: dict[str, DataFrame], only: set[str] = frozenset(STAR_TA
     return q.together(q.relationship_orphans(model, only))
 
 
-def _unique_pings(positions: DataFrame) -> DataFrame:
+def unique_pings(positions: DataFrame) -> DataFrame:
     return q.unique_key("unique ping", positions, ["vehicle_id", "timestamp"])
 
 
 def position_rules(positions: DataFrame, lat_range=params.BOX_LAT, lon_range=params.BOX_LON) -> DataFrame:
-    return q.together([*_count({PINGS: positions}, _box_rules(lat_range, lon_range)), _unique_pings(positions)])
+    return q.together([*_count({PINGS: positions}, _box_rules(lat_range, lon_range)), unique_pings(positions)])
 
 
 def ping_rules(positions: DataFrame, lat_range=params.BOX_LAT, lon_range=params.BOX_LON) -> DataFrame:
     """Speed bound, box and key of new pings; what a realtime load is gated by."""
     row_level = _count({PINGS: positions}, _speed_rules(), _box_rules(lat_range, lon_range))
-    return q.together([*row_level, _unique_pings(positions)])
+    return q.together([*row_level, unique_pings(positions)])
 
 
 def domains(model: dict[str, DataFrame], observations: DataFrame) -> DataFrame:
@@ -122,15 +132,20 @@ def all_checks(
     only: set[str] = frozenset(STAR_TABLES),
     lat_range=params.BOX_LAT,
     lon_range=params.BOX_LON,
+    counted: set[str] = frozenset(),
 ) -> DataFrame:
-    """Every check of the chosen tables; the row-level ones of a table share one scan."""
+    """Every check of the chosen tables; the row-level ones of a table share one scan.
+
+    Those of the tables ``counted`` are left out, as their write has counted them.
+    """
     tables = {t: model[t] for t in only}
     if observations is not None:
         tables[OBSERVATIONS] = observations
     row_level = _count(
-        tables, _speed_rules(), _box_rules(lat_range, lon_range), _null_rules(), _domain_rules(), only=set(tables)
+        tables, _speed_rules(), _box_rules(lat_range, lon_range), _null_rules(), _domain_rules(),
+        only=set(tables) - set(counted),
     )
-    pings = [_unique_pings(tables[PINGS])] if PINGS in only else []
+    pings = [unique_pings(tables[PINGS])] if PINGS in only else []
     return q.together([
         *row_level, *_unique(tables, only), *pings, orphan_facts(tables, only), calendar_cover(tables, only),
     ])

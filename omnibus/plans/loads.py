@@ -82,7 +82,8 @@ def pending_positions(spark: SparkSession, source: DataFrame, schema: str) -> Da
 
 
 def load_positions(
-    spark: SparkSession, source: DataFrame, schema: str, root: str, full_reload: bool = False
+    spark: SparkSession, source: DataFrame, schema: str, root: str, full_reload: bool = False,
+    rules: dict[str, Column] | None = None,
 ) -> None:
     """Append silver pings newer than the warehouse table's watermark, or replace the table.
 
@@ -90,12 +91,13 @@ def load_positions(
     parseable ingestion time, takes all rows; otherwise rows whose time does not
     parse stay out.  The table is partitioned by ingestion day, which bounds
     what the next load reads, and by ping date, which the gold views filter on.
+    A new row that breaks one of ``rules``, which the load itself counts, stops it.
     """
     name = f"{schema}.{POSITIONS}"
     if full_reload or not tables.exists(spark, name):
-        versioned.publish(position_rows(source), name, root, POSITION_PARTITIONS)
+        versioned.publish(position_rows(source), name, root, POSITION_PARTITIONS, rules)
     else:
-        versioned.append(pending_positions(spark, source, schema), name)
+        versioned.append(pending_positions(spark, source, schema), name, rules)
 
 
 def in_partitions(touched: set[versioned.Part]) -> Column:

@@ -676,6 +676,7 @@ _STATEMENTS = {
     "q2_gate_on_faulty_pings": f"""
         {_SPEED} UNION ALL SELECT 'ping outside box', count(*) FROM events WHERE event_id % 3 = 2
         UNION ALL {_POSITION_KEYS.format(source='fact_vehicle_positions')}""",
+    "q2_gate_in_the_write": f"{_SPEED} UNION ALL SELECT 'ping outside box', count(*) FROM events WHERE event_id % 3 = 2",
     "q3_not_null": _NULLS,
     "q3_missing_keys": _MISSING,
     "q4_unique_keys": """

@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from omnibus.operators.quality import QualityGateFailed, Watch
 from omnibus.sources.shared import cut
 
 STORED = "stored_in"
@@ -48,24 +49,29 @@ def set_mark(spark: SparkSession, name: str, mark: str, value: object) -> None:
     spark.sql(f"ALTER TABLE {stored_in(spark, name)} SET TBLPROPERTIES ('{mark}' = '{value}')")
 
 
-def publish(df: DataFrame, name: str, root: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Create the table, or replace all its rows."""
+def publish(
+    df: DataFrame, name: str, root: str, partition_by: tuple[str, ...] = (), rules: dict[str, Column] | None = None
+) -> None:
+    """Create the table, or replace all its rows.
+
+    ``rules`` are counted by the write; a row that breaks one leaves the table as it was.
+    """
     spark, root = df.sparkSession, root.rstrip("/")
     ensure_schema(spark, name, root)
     before = stored_in(spark, name) if exists(spark, name) else None
     version = f"{name}_{uuid.uuid4().hex}"
-    _writer(df, partition_by).option("path", f"{root}/{version.replace('.', '/')}").saveAsTable(version)
+    watch = Watch(df, rules)
+    _writer(watch.rows, partition_by).option("path", f"{root}/{version.replace('.', '/')}").saveAsTable(version)
+    try:
+        watch.check()
+    except QualityGateFailed:
+        spark.sql(f"DROP TABLE {version}")
+        raise
     spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{STORED}' = '{version}') AS SELECT * FROM {version}")
     if before:
         spark.sql(f"DROP TABLE {before}")  # external: the files stay
 
 
-def append(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None:
-    version = stored_in(df.sparkSession, name)
-    _writer(df, partition_by).mode("append").saveAsTable(version)
-    df.sparkSession.catalog.refreshTable(name)
-
-
 def ensure(spark: SparkSession, name: str, ddl: str, partition_by: tuple[str, ...], root: str) -> None:
     """Create an empty partitioned table, if it is not there."""
     root = root.rstrip("/")

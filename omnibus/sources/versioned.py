@@ -20,9 +20,10 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from omnibus.operators.quality import QualityGateFailed, Watch
 from omnibus.sources import tables
 from omnibus.sources.shared import cut
 
@@ -35,15 +36,23 @@ _REPLACED = "replaced"
 Part = tuple[int | None, ...]
 
 
-def publish(df: DataFrame, name: str, root: str, partition_by: tuple[str, ...]) -> None:
-    """Create the table, or replace all its rows."""
+def publish(
+    df: DataFrame, name: str, root: str, partition_by: tuple[str, ...], rules: dict[str, Column] | None = None
+) -> None:
+    """Create the table, or replace all its rows; a row that breaks one of ``rules`` leaves it as it was."""
     spark, root = df.sparkSession, root.rstrip("/")
     tables.ensure_schema(spark, name, root)
     before = _property(spark, name, tables.STORED) if tables.exists(spark, name) else None
     stored = f"{name}_{uuid.uuid4().hex}"
-    rows = df.withColumn(VERSION, F.lit(0).cast("bigint")).hint("rebalance", *partition_by)
+    watch = Watch(df, rules)
+    rows = watch.rows.withColumn(VERSION, F.lit(0).cast("bigint")).hint("rebalance", *partition_by)
     path = f"{root}/{stored.replace('.', '/')}"
     rows.write.format("parquet").partitionBy(*partition_by, VERSION).option("path", path).saveAsTable(stored)
+    try:
+        watch.check()
+    except QualityGateFailed:
+        spark.sql(f"DROP TABLE {stored}")
+        raise
     _show(spark, name, stored, partition_by, 0)
     if before:
         spark.sql(f"DROP TABLE {before}")  # external: the files stay
@@ -55,10 +64,12 @@ def ensure(spark: SparkSession, name: str, ddl: str, partition_by: tuple[str, ..
         publish(spark.createDataFrame([], ddl), name, root, partition_by)
 
 
-def append(df: DataFrame, name: str) -> None:
-    """Add rows."""
-    spark, df = df.sparkSession, cut(df)
-    _insert(df, name, _finish(spark, name))
+def append(df: DataFrame, name: str, rules: dict[str, Column] | None = None) -> None:
+    """Add rows, or none if one breaks one of ``rules``."""
+    spark, watch = df.sparkSession, Watch(df, rules)
+    rows = cut(watch.rows)
+    watch.check()
+    _insert(rows, name, _finish(spark, name))
     spark.catalog.refreshTable(name)
 
 

@@ -191,7 +191,8 @@ def realtime_cycle(
     """Land, build silver, gate, load.
 
     The load runs only after the steps before it succeeded, and only if the new
-    pings pass the checks.
+    pings pass the checks; the row-level ones are counted by the load itself,
+    before its rows can be seen.
     """
     prepare(spark)
     builder = SilverBuilder(spark, schema, f"{root}/silver")
@@ -202,8 +203,9 @@ def realtime_cycle(
 
     def load():
         rows = builder.silver(spark)
-        gate(checks.ping_rules(loads.pending_positions(spark, rows, schema), *builder.box))
-        loads.load_positions(spark, rows, schema, f"{root}/warehouse")
+        gate(checks.unique_pings(loads.pending_positions(spark, rows, schema)))
+        rules = checks.ping_row_rules(*builder.box)
+        loads.load_positions(spark, rows, schema, f"{root}/warehouse", rules=rules)
         loads.correct_positions(spark, tables.read(spark, builder.corrections), schema)
 
     for step in (ingest, load):

@@ -1,9 +1,11 @@
 import pytest
 from helpers import as_dict
+from pyspark.sql import functions as F
 
 from omnibus.operators import quality
 from omnibus.plans import checks
 from omnibus.plans.analogs import Analogs
+from omnibus.sources import tables, versioned
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,3 +41,32 @@ def test_gate_on_a_star(spark):
     a = Analogs(spark, SF)
     with pytest.raises(quality.QualityGateFailed, match="speed bound"):
         quality.gate(checks.all_checks(a.star(), a.observations()))
+
+
+def test_a_write_counts_its_rows_and_stops_before_they_show(spark, rows, tmp_path):
+    rules = {"negative": F.col("x") < 0, "missing": F.col("x").isNull()}
+    part = lambda *xs: rows([(x, 1) for x in xs], "x int, d int")
+    root = str(tmp_path)
+    for writer in (tables, versioned):
+        name = f"watched.{writer.__name__.split('.')[-1]}"
+        with pytest.raises(quality.QualityGateFailed, match="negative: 2, missing: 1") as failed:
+            writer.publish(part(1, -2, -3, None), name, root, ("d",), rules)
+        assert failed.value.violations == {"negative": 2, "missing": 1} and not tables.exists(spark, name)
+        writer.publish(part(1, 2), name, root, ("d",), rules)
+        with pytest.raises(quality.QualityGateFailed, match="missing: 1"):
+            writer.publish(part(3, None), name, root, ("d",), rules)
+        assert {r.x for r in spark.table(name).collect()} == {1, 2}
+    with pytest.raises(quality.QualityGateFailed, match="negative: 1"):
+        versioned.append(part(7, -7), name, rules)
+    assert {r.x for r in tables.read(spark, name).collect()} == {1, 2}
+    versioned.append(part(7), name, rules)
+    assert {r.x for r in tables.read(spark, name).collect()} == {1, 2, 7}
+
+
+def test_counting_adds_no_scan(spark, tmp_path):
+    spark.range(100).write.parquet(str(tmp_path / "in"))
+    watch = quality.Watch(spark.read.parquet(str(tmp_path / "in")), {"odd": F.col("id") % 2 == 1})
+    plan = watch.rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "CollectMetrics" in plan
+    watch.rows.write.parquet(str(tmp_path / "out"))
+    assert watch.counts() == {"odd": 50}

@@ -17,7 +17,7 @@ from omnibus.plans import checks, gold, loads, questions, silver
 from omnibus.plans import observations as obs
 from omnibus.plans.analogs import Analogs
 from omnibus.plans.report import VISUALS, report_query
-from omnibus.sources import files, tables
+from omnibus.sources import files, quarantine, tables
 from omnibus.sources.shared import fresh_folder
 from omnibus.streaming import observations as intake_stream
 from omnibus.streaming import positions as realtime
@@ -398,6 +398,45 @@ def _two_loads(a: Analogs) -> DataFrame:
     return a.spark.table(f"{schema}.{loads.OBSERVATIONS}")
 
 
+def _write_lines(lines: DataFrame, folder: str, header: str | None = None) -> None:
+    """Text files of ready lines, each file with the header."""
+    if header is None:
+        return lines.write.text(folder)
+    return lines.toDF(header).write.csv(folder, header=True, sep="\u0001", quote="\u0000", escape="\u0000")
+
+
+@query("s_broken_records")
+def s_broken(a):
+    """Faulty schedule, price and weather files: by source, the rows that load and the records in quarantine."""
+    folder, schema = fresh_folder(a.spark, "faulty"), _scratch_schema()
+    k = F.col("c_custkey")
+    customers = a.table("customer")
+    stop = F.concat_ws(",", k, F.concat(F.lit('"'), "c_name", F.lit('"')), F.lit("28.5"))
+    stops = F.when(k % 5 == 0, stop).when(k % 7 == 0, F.concat(stop, F.lit(",77.1,x"))).otherwise(F.concat(stop, F.lit(",77.1")))
+    _write_lines(customers.select(stops.alias("value")), f"{folder}/stops", "stop_id,stop_name,stop_lat,stop_lon")
+    price = F.when(k % 3 == 0, F.lit("soon")).otherwise((k % 90).cast("string"))
+    _write_lines(
+        customers.select(F.concat_ws(",", F.lit("2024-01-01"), F.lit("90.0"), price, F.lit("s")).alias("value")), f"{folder}/fuel",
+        "date,petrol_delhi_inr,diesel_delhi_inr,source_note",
+    )
+    measures = "".join(f', "{m}": [1.5]' for m in ("temperature_2m_max", "temperature_2m_min", "precipitation_sum", "windspeed_10m_max"))
+    document = F.concat(F.lit('{"daily": {"time": ["2024-01-01"]' + measures + ', "weathercode": ['), k % 50, F.lit("]}"))
+    _write_lines(customers.select(F.when(k % 4 == 0, document).otherwise(F.concat(document, F.lit("}"))).alias("value")), f"{folder}/weather")
+    landed = {
+        "stops": quarantine.read_csv(a.spark, f"{folder}/stops", "stops"),
+        "fuel": quarantine.read_fuel(a.spark, f"{folder}/fuel"),
+        "weather": quarantine.read_weather(a.spark, f"{folder}/weather", one_per_line=True),
+    }
+    for _ in range(2):  # a repeated load adds nothing
+        quarantine.store([found.broken for found in landed.values()], f"{schema}.broken", folder)
+    broken = quarantine.counts(a.spark, f"{schema}.broken").groupBy("source").agg(F.sum("n_broken").alias("n_broken"))
+    loaded = checks.q.together([
+        found.good.agg(F.count("*").alias("n_loaded")).select(F.lit(source).alias("source"), "n_loaded")
+        for source, found in landed.items()
+    ])
+    return loaded.join(broken, "source")
+
+
 @query("s7_create_or_merge")
 def s7(a):
     return _two_loads(a).groupBy("status").agg(F.count("*").alias("n"))

@@ -599,6 +599,12 @@ _STATEMENTS = {
     "s6_observation_export": f"""
         {_EXPORT} FROM (SELECT * FROM observations WHERE created_at >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY
                         ORDER BY created_at DESC, id DESC)""",
+    "s_broken_records": "\nUNION ALL ".join(
+        f"SELECT '{source}' AS source, count(*) FILTER (NOT ({bad})) AS n_loaded, count(*) FILTER ({bad}) AS n_broken FROM customer"
+        for source, bad in (
+            ("stops", "c_custkey % 5 = 0 OR c_custkey % 7 = 0"), ("fuel", "c_custkey % 3 = 0"), ("weather", "c_custkey % 4 = 0")
+        )
+    ),
     "s7_create_or_merge": """
         SELECT CASE WHEN created_at >= TIMESTAMP '2024-01-12' THEN 'RESOLVED' ELSE status END AS status, count(*) AS n
         FROM observations GROUP BY 1""",

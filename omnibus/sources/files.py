@@ -21,7 +21,11 @@ def read_gtfs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def _gtfs_file(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"')
+    return chosen_columns(spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"'), ddl)
+
+
+def chosen_columns(raw: DataFrame, ddl: str) -> DataFrame:
+    """The columns of ``ddl`` by name; missing ones are NULL."""
     return raw.select(
         *[
             (F.col(c) if c in raw.columns else F.lit(None).cast("string")).alias(c)
@@ -35,7 +39,10 @@ def read_weather(spark: SparkSession, path: str, one_per_line: bool = False) ->
 
     A file is one document, unless it holds ``one_per_line``.
     """
-    docs = spark.read.schema(schemas.WEATHER_DOCUMENT).json(path, multiLine=not one_per_line)
+    return weather_days(spark.read.schema(schemas.WEATHER_DOCUMENT).json(path, multiLine=not one_per_line))
+
+
+def weather_days(docs: DataFrame) -> DataFrame:
     day = F.explode(
         F.arrays_zip(
             "daily.time", "daily.temperature_2m_max", "daily.temperature_2m_min",

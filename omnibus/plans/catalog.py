@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from omnibus import params
 from omnibus.functions import clock
 from omnibus.operators.access import Slicer, Viewer, visible
-from omnibus.plans import checks, gold, loads, questions, silver
+from omnibus.plans import activity, checks, gold, loads, questions, silver
 from omnibus.plans import observations as obs
 from omnibus.plans.analogs import Analogs
 from omnibus.plans.report import VISUALS, report_query
@@ -536,6 +536,31 @@ def l5_late(a):
     return rounded(rows.select("entity_id", "vehicle_id", "timestamp", "derived_speed_kmh", "ping_hour"), 3)
 
 
+def _kept_activity(a: Analogs) -> DataFrame:
+    """Partials after two loads, the second of which refreshes the days it touched."""
+    schema, root = _scratch_schema(), fresh_folder(a.spark, "activity")
+    source, read = silver.with_wall_clock(a.fact_vehicle_positions()), clock.ingest_second(F.col("ingested_at"))
+    # An incremental load leaves out what has no readable ingestion time, so that gets a late one here.
+    source = source.withColumn("ingested_at", F.when(read.isNull(), F.lit("2024-12-01T00:00:00")).otherwise(F.col("ingested_at")))
+    early = source.where(clock.ingest_second(F.col("ingested_at")) <= F.lit(AS_OF - dt.timedelta(days=16)))
+    for rows in (early, source):
+        new = loads.pending_positions(a.spark, rows, schema)
+        activity.touch(a.spark, schema, activity.versioned.parts_of(new, activity.DAY))
+        loads.load_positions(a.spark, rows, schema, root)
+        activity.refresh(a.spark, schema, root)
+    return a.spark.table(f"{schema}.{activity.PARTIALS}")
+
+
+@query("g4_kept_up_to_date")
+def g4_kept(a):
+    return activity.vehicle_activity(_kept_activity(a), a.dim_route(), CUTOFF)
+
+
+@query("g6_kept_up_to_date")
+def g6_kept(a):
+    return activity.weather_vs_activity(a.weather(), _kept_activity(a))
+
+
 # --- Observations ------------------------------------------------------------------------
 
 @query("o1_classify")

@@ -137,6 +137,11 @@ def vehicle_activity(
         .groupBy("route_id", hour.alias("activity_hour"), day.alias("activity_date"))
         .agg(F.count_distinct("vehicle_id").alias("unique_vehicles"), *_speed_measures())
     )
+    return named_activity(per_hour, routes)
+
+
+def named_activity(per_hour: DataFrame, routes: DataFrame) -> DataFrame:
+    """The activity view from one row per route, hour and day."""
     named = routes.groupBy("route_id", "route_long_name").agg(F.count("*").alias("copies"))
     n = F.coalesce("copies", F.lit(1))
     return (
@@ -176,6 +181,11 @@ def weather_vs_activity(weather: DataFrame, positions: DataFrame) -> DataFrame:
         F.count_distinct("vehicle_id").alias("buses"),
         *_speed_measures(),
     )
+    return weather_days(weather, per_day)
+
+
+def weather_days(weather: DataFrame, per_day: DataFrame) -> DataFrame:
+    """The weather view from one row of pings per day."""
     days = weather.groupBy(
         "date", "weather_label", "is_rainy_day", "precipitation_mm", "temp_avg_c"
     ).agg(F.count("*").alias("copies"))

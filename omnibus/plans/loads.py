@@ -126,11 +126,17 @@ def correct_speeds(spark: SparkSession, name: str, corrected: DataFrame) -> None
     versioned.replace(rows.withColumn("derived_speed_kmh", speed).drop("_speed", "_hit"), name, touched)
 
 
+def pending_corrections(spark: SparkSession, corrections: DataFrame, schema: str) -> DataFrame:
+    """The corrections that the warehouse table has not been brought up to."""
+    name = f"{schema}.{POSITIONS}"
+    done = tables.mark_of(spark, name, _CORRECTED) if tables.exists(spark, name) else None
+    return corrections.where(F.col("batch_id") > int(-1 if done is None else done))
+
+
 def correct_positions(spark: SparkSession, corrections: DataFrame, schema: str) -> None:
     """Bring the warehouse table up to the corrections (with batch_id) logged since the last call."""
     name = f"{schema}.{POSITIONS}"
-    done = tables.mark_of(spark, name, _CORRECTED)
-    pending = corrections.where(F.col("batch_id") > int(-1 if done is None else done))
+    pending = pending_corrections(spark, corrections, schema)
     last = pending.agg(F.max("batch_id").alias("b")).first()["b"]
     if last is None:
         return

@@ -760,3 +760,5 @@ ORACLES["o3_enrich"] = _with_inputs(
     """SELECT s.id, s.qr_code_id, s.bus_number, s.route_id, 'NEW' AS status FROM screened s JOIN kept k ON s.id = k.id""",
     _PENDING + _spaced("pending"),
 )
+ORACLES["g4_kept_up_to_date"] = ORACLES["g4_vehicle_activity"]
+ORACLES["g6_kept_up_to_date"] = ORACLES["g6_weather_vs_activity"]

@@ -16,7 +16,7 @@ from omnibus.functions import clock
 from omnibus.operators.dedupe import keep_last
 from omnibus.operators.quality import QualityGateFailed, gate
 from omnibus.operators.skew import rekeyed
-from omnibus.plans import checks, loads, silver
+from omnibus.plans import activity, checks, loads, silver
 from omnibus.session import prepare
 from omnibus.sources import tables, versioned
 from omnibus.sources.shared import cut
@@ -186,13 +186,14 @@ def build_silver(
 def realtime_cycle(
     spark: SparkSession, incoming: str, root: str, schema: str, *,
     ingested_at: Column | None = None, files_per_batch: int | None = None,
-    retries: int = 1, wait_seconds: float = 30.0,
+    retries: int = 1, wait_seconds: float = 30.0, keep_activity: bool = False,
 ) -> SilverBuilder:
     """Land, build silver, gate, load.
 
     The load runs only after the steps before it succeeded, and only if the new
     pings pass the checks; the row-level ones are counted by the load itself,
-    before its rows can be seen.
+    before its rows can be seen.  ``keep_activity`` also brings the partial aggregates
+    of the activity views up to date, for the days that the load touched.
     """
     prepare(spark)
     builder = SilverBuilder(spark, schema, f"{root}/silver")
@@ -202,11 +203,17 @@ def realtime_cycle(
         build_silver(spark, f"{root}/bronze_positions", builder, f"{root}/checkpoints/silver", files_per_batch)
 
     def load():
-        rows = builder.silver(spark)
+        rows, corrections = builder.silver(spark), tables.read(spark, builder.corrections)
+        if keep_activity:
+            fixed = loads.pending_corrections(spark, corrections, schema).select(*activity.DAY)
+            new = loads.pending_positions(spark, rows, schema).select(*activity.DAY)
+            activity.touch(spark, schema, versioned.parts_of(new.unionByName(fixed), activity.DAY))
         gate(checks.unique_pings(loads.pending_positions(spark, rows, schema)))
         rules = checks.ping_row_rules(*builder.box)
         loads.load_positions(spark, rows, schema, f"{root}/warehouse", rules=rules)
-        loads.correct_positions(spark, tables.read(spark, builder.corrections), schema)
+        loads.correct_positions(spark, corrections, schema)
+        if keep_activity:
+            activity.refresh(spark, schema, f"{root}/warehouse")
 
     for step in (ingest, load):
         for attempt in range(retries + 1):

@@ -32,8 +32,9 @@ OBSERVATIONS = "bronze_observations"
 OBSERVATION_DAY = "created_day"
 OBSERVATION_INDEX = "bronze_observation_days"
 ID_BUCKET = "id_bucket"
-#: Buckets of the index; fixed when the table is made.
-ID_BUCKETS = 64
+#: Rows of an index bucket, about, and least number of buckets, when the table is made; the number then stays.
+ROWS_PER_BUCKET, LEAST_BUCKETS = 1_000_000, 8
+_BUCKETS = "id_buckets"
 _CORRECTED = "corrected_to"
 
 
@@ -152,7 +153,7 @@ def materialize_gold(model: dict[str, DataFrame], schema: str, root: str) -> Non
 
 
 def load_observations(
-    spark: SparkSession, raw: DataFrame, schema: str, root: str, id_type: str = "bigint", id_buckets: int = ID_BUCKETS
+    spark: SparkSession, raw: DataFrame, schema: str, root: str, id_type: str = "bigint", id_buckets: int | None = None
 ) -> None:
     """First run creates the table, later runs update by id.
 
@@ -168,11 +169,13 @@ def load_observations(
     rows = silver.typed_observations(raw, id_type=id_type).withColumn(OBSERVATION_DAY, F.to_date("created_at"))
     if not tables.exists(spark, name):
         rows = cut(rows)
+        id_buckets = id_buckets or max(LEAST_BUCKETS, rows.count() // ROWS_PER_BUCKET)
         versioned.publish(_days_by_id(rows, id_buckets), index, root, (ID_BUCKET,))
+        tables.set_mark(spark, index, _BUCKETS, id_buckets)
         versioned.publish(rows, name, root, (OBSERVATION_DAY,))
         return
     source = cut(rows)
-    pairs = cut(_days_by_id(source, id_buckets))
+    pairs = cut(_days_by_id(source, int(tables.mark_of(spark, index, _BUCKETS))))
     known = index_rows(spark, index, pairs)
     own = pairs.select("id").distinct()
     touched = versioned.parts_of(

@@ -52,8 +52,8 @@ def peak_split(route_summary: DataFrame) -> DataFrame:
 
 def route_coverage(route_summary: DataFrame) -> DataFrame:
     """Routes ranked by the number of different stops they serve."""
-    ranked = rank_by_value(route_summary, "unique_stops_served", "coverage_rank")
-    return ranked.select("route_id", "route_name", "unique_stops_served", "coverage_rank")
+    served = route_summary.select("route_id", "route_name", "unique_stops_served")
+    return rank_by_value(served, "unique_stops_served", "coverage_rank")
 
 
 def fuel_against_baseline(fuel: DataFrame) -> DataFrame:

@@ -143,7 +143,7 @@ def _finish(spark: SparkSession, name: str) -> int:
     replaced = {tuple(p) for p in json.loads(_property(spark, name, _REPLACED))}
     if replaced:
         kinds, columns = dict(spark.table(stored).dtypes), _partitioned_by(spark, name)
-        gone = {_catalog_values(spark, [kinds[c] for c in columns], p) for p in replaced}
+        gone = _catalog_values(spark, [kinds[c] for c in columns], replaced)
         _drop(spark, name, lambda values, v: v < at and tuple(x for _, x in values) in gone)
         _show(spark, name, stored, columns, at)
     return at
@@ -178,9 +178,10 @@ def _literal(kind: str, value: int | None) -> str:
     return f"DATE_FROM_UNIX_DATE({value})" if kind == "date" else f"CAST({value} AS {kind})"
 
 
-def _catalog_values(spark: SparkSession, kinds: list[str], part: Part) -> tuple[str | None, ...]:
-    texts = ", ".join(f"CAST({_literal(k, v)} AS STRING) AS c{i}" for i, (k, v) in enumerate(zip(kinds, part)))
-    return tuple(spark.sql(f"SELECT {texts}").first())
+def _catalog_values(spark: SparkSession, kinds: list[str], parts: set[Part]) -> set[tuple[str | None, ...]]:
+    """The values of partitions as the catalog has them."""
+    rows = ", ".join("(" + ", ".join(f"CAST({_literal(k, v)} AS STRING)" for k, v in zip(kinds, part)) + ")" for part in parts)
+    return {tuple(r) for r in spark.sql(f"SELECT * FROM VALUES {rows}").collect()}
 
 
 def _property(spark: SparkSession, name: str, key: str) -> str:

@@ -119,9 +119,9 @@ def days_seen(spark, schema):
 
 def test_a_merge_reads_only_the_buckets_and_days_of_its_ids(spark, rows, tmp_path, monkeypatch):
     start = [observation(i, f"2024-01-{1 + i % 20:02d}T10:00:00") for i in range(200)]
-    loads.load_observations(spark, rows(start, OBS), "idx", str(tmp_path))
+    loads.load_observations(spark, rows(start, OBS), "idx", str(tmp_path), id_buckets=64)
     name, index = f"idx.{loads.OBSERVATIONS}", f"idx.{loads.OBSERVATION_INDEX}"
-    pairs = loads._days_by_id(spark.createDataFrame([(7, day(4))], f"id bigint, {loads.OBSERVATION_DAY} date"), loads.ID_BUCKETS)
+    pairs = loads._days_by_id(spark.createDataFrame([(7, day(4))], f"id bigint, {loads.OBSERVATION_DAY} date"), 64)
     read = loads.index_rows(spark, index, pairs)
     buckets = {p.split(loads.ID_BUCKET + "=")[1].split("/")[0] for p in read.inputFiles()}
     assert buckets == {str(pairs.first()[loads.ID_BUCKET])} and 0 < read.count() < 30

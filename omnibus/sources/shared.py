@@ -13,11 +13,14 @@ def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder the cluster names; where none is named, one beside the tables.
 
     The warehouse is as shared as the tables in it, so no session writes to a
-    folder of one machine.
+    folder of one machine; on a cluster whose warehouse is one, a folder has to be named.
     """
     named = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_interim"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{_SETTING} must name a folder that all executors share; the warehouse is {warehouse}")
+        named = f"{warehouse.rstrip('/')}/_interim"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
     return named
